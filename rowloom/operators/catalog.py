@@ -11,11 +11,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from rowloom.config import RELATIONSHIPS
 from rowloom.operators.metadata import (
     FIELD_COLUMNS,
     RELATIONSHIP_COLUMNS,
-    load_fields,
-    load_relationships,
+    as_relationship,
+    definitions,
 )
 
 _KEY = ("app_name", "position")
@@ -27,25 +28,26 @@ def _latest(value: Column) -> Column:
     return F.max_by(value, order)
 
 
-def merge(fields: DataFrame, relationships: DataFrame) -> DataFrame:
-    """``app_name, position, field, relationship``; either struct may be null."""
+def catalog(docs: DataFrame) -> DataFrame:
+    """``app_name, position, field, relationship``; either struct may be null.
+
+    A definition can be a field, a relationship or both, so one aggregation over
+    the definitions merges the two.  Map-side partial aggregation leaves at most
+    one row per position and task to shuffle.
+    """
     field = F.struct(*(c for c in FIELD_COLUMNS if c not in _KEY))
     relationship = F.struct(*(c for c in RELATIONSHIP_COLUMNS if c not in _KEY))
-    rows = fields.select(*_KEY, "source_rank", "ordinal", field.alias("field")).unionByName(
-        relationships.select(*_KEY, "source_rank", "ordinal", relationship.alias("relationship")),
-        allowMissingColumns=True,
+    rows = as_relationship(definitions(docs)).select(
+        *_KEY, "source_rank", "ordinal",
+        F.when(F.col("kind") != RELATIONSHIPS, field).alias("field"),
+        F.when(F.col("target_application").isNotNull(), relationship).alias("relationship"),
     )
-    return rows.groupBy(F.upper("app_name").alias("app_name"), "position").agg(
+    return rows.groupBy(*_KEY).agg(
         _latest(F.col("field")).alias("field"),
         _latest(F.col("relationship")).alias("relationship"),
     )
 
 
-def catalog(docs: DataFrame) -> DataFrame:
-    """Catalog of all applications from parsed metadata documents."""
-    return merge(load_fields(docs), load_relationships(docs))
-
-
 def fields(merged: DataFrame) -> DataFrame:
     """Winning field definitions."""
     found = merged.filter(F.col("field").isNotNull())

@@ -1,8 +1,10 @@
 """Metadata loaders: documents of four kinds to field and relationship rows.
 
-A metadata document describes one application and is small, so it stays one row
-(``app_name, source, kind, content``) and its columns are zipped inside the row;
-nothing here shuffles.  Spark spreads the documents over the cluster.
+A metadata document describes one application and is small, so it is parsed as
+one row (``app_name, source, kind, content``); Spark spreads the documents over
+the cluster.  A document becomes one row per definition node, and all kinds go
+through one projection, so a catalog parses each document once and only the
+final merge shuffles.
 """
 
 from __future__ import annotations
@@ -11,7 +13,7 @@ import xml.etree.ElementTree as ET
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rowloom.config import CUSTOMIZATION, LOCAL_REF, RELATIONSHIPS, STANDARD_SELECTION
@@ -82,17 +84,19 @@ RELATIONSHIP_COLUMNS = (
     "app_name", "field_name", "position", "target_application", "relationship_type", "source",
 )
 
+_FIELD_ATTRIBUTES = tuple(SCHEMA_COLUMNS.values())
+_ATTRIBUTES = (*_FIELD_ATTRIBUTES, "target_application", "relationship_type")
+
 _CHILD = pa.struct([("tag", pa.string()), ("text", pa.string())])
-_NODE = pa.struct([("tag", pa.string()), ("children", pa.list_(_CHILD))])
-_DOCUMENT = pa.schema(
+_NODE = pa.schema(
     [
         ("app_name", pa.string()), ("source", pa.string()), ("kind", pa.string()),
-        ("nodes", pa.list_(_NODE)),
+        ("column_style", pa.bool_()), ("node", pa.int32()), ("children", pa.list_(_CHILD)),
     ]
 )
-_DOCUMENT_DDL = (
-    "app_name STRING, source STRING, kind STRING, "
-    "nodes ARRAY<STRUCT<tag: STRING, children: ARRAY<STRUCT<tag: STRING, text: STRING>>>>"
+_NODE_DDL = (
+    "app_name STRING, source STRING, kind STRING, column_style BOOLEAN, node INT, "
+    "children ARRAY<STRUCT<tag: STRING, text: STRING>>"
 )
 
 
@@ -100,175 +104,159 @@ def _local_tag(element: ET.Element) -> str:
     return element.tag.rpartition("}")[2].upper()
 
 
-def _nodes(content: bytes | str) -> list[dict]:
-    """Elements in document order, each with the tag and text of its children."""
-    root = ET.fromstring(content)
-    return [
-        {
-            "tag": _local_tag(node),
-            "children": [
-                {"tag": _local_tag(c), "text": (c.text or "").strip()} for c in node
-            ],
-        }
-        for node in root.iter()
-        if len(node) or node is root or _local_tag(node) == "ROW"
-    ]
+def _children(element: ET.Element) -> list[dict]:
+    return [{"tag": _local_tag(c), "text": (c.text or "").strip()} for c in element]
+
+
+def _nodes(kind: str, content: bytes | str) -> Iterator[dict]:
+    """The first ROW of a column-style document, or every definition node.
+
+    A column-style document without a ROW gives one row whose children are null.
+    """
+    elements = [(_local_tag(e), e) for e in ET.fromstring(content).iter()]
+    tags = {tag for tag, _ in elements}
+    if kind == STANDARD_SELECTION or (kind == LOCAL_REF and {"C1", "C3"} <= tags):
+        row = next((e for tag, e in elements if tag == "ROW"), None)
+        yield {"column_style": True, "node": 0, "children": None if row is None else _children(row)}
+        return
+    found = (e for tag, e in elements if tag in NODE_TAGS[kind])
+    for number, element in enumerate(found):
+        yield {"column_style": False, "node": number, "children": _children(element)}
 
 
 def _parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        columns = [batch.column(name) for name in ("app_name", "source", "kind")]
-        contents = batch.column("content").to_pylist()
-        nodes = pa.array([_nodes(c) for c in contents], type=pa.list_(_NODE))
-        yield pa.RecordBatch.from_arrays([*columns, nodes], schema=_DOCUMENT)
+        for document in batch.to_pylist():
+            content = document.pop("content")
+            rows = [{**document, **node} for node in _nodes(document["kind"], content)]
+            yield pa.RecordBatch.from_pylist(rows, schema=_NODE)
 
 
 def documents(files: DataFrame) -> DataFrame:
-    """Parse metadata documents; ``files`` has ``app_name, source, kind, content``."""
+    """Definition nodes of metadata documents, from ``app_name, source, kind, content``."""
     named = files.select(F.upper("app_name").alias("app_name"), "source", "kind", "content")
-    return named.mapInArrow(_parse, _DOCUMENT_DDL)
-
-
-def _has_child(nodes: Column, tag: str) -> Column:
-    return F.exists(
-        nodes,
-        lambda n: (n["tag"] == tag) | F.exists(n["children"], lambda c: c["tag"] == tag),
-    )
-
-
-def is_column_style(kind: Column, nodes: Column) -> Column:
-    """Schema documents, and local-reference documents that hold both C1 and C3."""
-    return (kind == STANDARD_SELECTION) | (
-        (kind == LOCAL_REF) & _has_child(nodes, "C1") & _has_child(nodes, "C3")
-    )
+    return named.mapInArrow(_parse, _NODE_DDL)
 
 
-def repeated_columns(docs: DataFrame) -> DataFrame:
-    """Values of C1…C11 of the first ROW, as one array per column."""
-    row = F.element_at(F.filter("nodes", lambda n: n["tag"] == "ROW"), 1)
-    first = docs.withColumn("row", row)
+def _quoted(tags: tuple[str, ...]) -> str:
+    return "array(" + ", ".join(f"'{t}'" for t in tags) + ")"
 
-    def values(tag: str) -> Column:
-        same = F.filter(F.col("row")["children"], lambda c: c["tag"] == tag)
-        return F.coalesce(F.transform(same, lambda c: c["text"]), F.array().cast("array<string>"))
 
-    keep = [c for c in docs.columns if c != "nodes"]
-    return first.select(
-        *keep,
-        F.col("row").isNotNull().alias("has_row"),
-        *(values(tag).alias(tag) for tag in SCHEMA_COLUMNS),
-    )
-
-
-def column_style_problems(docs: DataFrame) -> DataFrame:
-    """``source, message`` of every column-style document that cannot be loaded."""
-    styled = docs.filter(is_column_style(F.col("kind"), F.col("nodes")))
-    message = F.when(
-        ~F.col("has_row"), F.concat(F.lit("No <ROW> element found: "), F.col("source"))
-    ).when(
-        (F.size("C1") == 0) | (F.size("C3") == 0),
-        F.concat(F.lit("Repeated <C1> names and <C3> positions are required: "), F.col("source")),
-    )
+def _zipped() -> str:
+    """One struct per index of the repeated columns, as many as C1 and C3 both have."""
+    names = ", ".join(f"nullif(x.{tag}, '') AS {name}" for tag, name in SCHEMA_COLUMNS.items())
+    columns = ", ".join(SCHEMA_COLUMNS)
     return (
-        repeated_columns(styled)
-        .select("source", message.alias("message"))
-        .filter(F.col("message").isNotNull())
+        f"transform(slice(arrays_zip({columns}), 1, least(size(C1), size(C3))), "
+        f"x -> struct({names}, CAST(NULL AS STRING) AS target_application, "
+        "CAST(NULL AS STRING) AS relationship_type))"
     )
 
 
-def column_style_fields(docs: DataFrame) -> DataFrame:
-    """Zip the repeated columns by index; rows without name or position are skipped."""
-    styled = docs.filter(is_column_style(F.col("kind"), F.col("nodes")))
-    tags = list(SCHEMA_COLUMNS)
-    zipped = F.slice(F.arrays_zip(*tags), F.lit(1), F.least(F.size("C1"), F.size("C3")))
-    rows = repeated_columns(styled).select(
-        "app_name", "source", "kind", F.posexplode(zipped).alias("ordinal", "row")
-    )
-    named = rows.select(
-        "app_name", "source", "kind", "ordinal",
-        *(F.nullif(F.col("row")[t], F.lit("")).alias(SCHEMA_COLUMNS[t]) for t in tags),
-    ).filter(F.col("field_name").isNotNull() & F.col("position").isNotNull())
-    return named.withColumn("is_local_ref", F.contains("position", F.lit("."))).withColumn(
-        "is_custom_field",
-        F.coalesce(F.upper("system_type").isin(*CUSTOM_SYSTEM_TYPES), F.lit(False)),
-    )
-
-
-def first_child_text(children: Column, tags: tuple[str, ...]) -> Column:
+def _first_child(attribute: str) -> str:
     """Text of the first child, in document order, whose tag is listed; blank is null.
 
     A blank first match is final: later synonyms are not tried.
     """
-    matches = F.filter(children, lambda c: c["tag"].isin(*tags))
-    return F.nullif(F.get(matches, F.lit(0))["text"], F.lit(""))
-
-
-def _node_rows(docs: DataFrame, kind: str) -> DataFrame:
-    chosen = docs.filter((F.col("kind") == kind) & ~is_column_style(F.col("kind"), F.col("nodes")))
-    nodes = F.filter("nodes", lambda n: n["tag"].isin(*NODE_TAGS[kind]))
-    exploded = chosen.select(
-        "app_name", "source", "kind", F.posexplode(nodes).alias("ordinal", "node")
-    )
-    return exploded.select(
-        "app_name", "source", "kind", "ordinal",
-        *(
-            first_child_text(F.col("node")["children"], tags).alias(name)
-            for name, tags in CHILD_TAGS[kind].items()
-        ),
+    cases = "".join(
+        f" WHEN '{kind}' THEN {_quoted(tags[attribute])}"
+        for kind, tags in CHILD_TAGS.items()
+        if attribute in tags
     )
+    if not cases:
+        return "CAST(NULL AS STRING)"
+    listed = f"CASE kind{cases} ELSE array() END"
+    return f"nullif(get(filter(children, c -> array_contains({listed}, c.tag)), 0).text, '')"
+
 
+def definitions(docs: DataFrame) -> DataFrame:
+    """Every usable definition: its attributes, flags, ``source_rank`` and ``ordinal``.
 
-def node_style_fields(docs: DataFrame, kind: str) -> DataFrame:
-    """Fields of local-reference or customization nodes."""
-    local_ref = F.lit(True) if kind == LOCAL_REF else F.contains("position", F.lit("."))
+    Fields need a name and a position, relationships a position and a target.
+    """
+    columns = [
+        f"coalesce(filter(children, c -> c.tag = '{tag}').text, array()) AS {tag}"
+        for tag in SCHEMA_COLUMNS
+    ]
+    single = ", ".join(f"{_first_child(a)} AS {a}" for a in _ATTRIBUTES)
+    ranks = "".join(f" WHEN '{kind}' THEN {rank}" for kind, rank in SOURCE_RANK.items())
+    custom = ", ".join(f"'{t}'" for t in CUSTOM_SYSTEM_TYPES)
+    keys = ("app_name", "source", "kind", "column_style")
     return (
-        _node_rows(docs, kind)
-        .filter(F.col("field_name").isNotNull() & F.col("position").isNotNull())
+        docs.selectExpr(*keys, "node", "children", *columns)
+        .selectExpr(
+            *keys, "node",
+            f"posexplode(CASE WHEN column_style THEN {_zipped()} ELSE array(struct({single})) END)"
+            " AS (index, d)",
+        )
+        .selectExpr(*keys, f"CASE kind{ranks} END AS source_rank", "node + index AS ordinal", "d.*")
         .withColumns(
             {
-                "system_type": F.lit("USR" if kind == LOCAL_REF else "CUSTOM"),
-                "alignment": F.lit(None).cast("string"),
-                "input_status": F.lit(None).cast("string"),
-                "is_local_ref": local_ref,
-                "is_custom_field": F.lit(True),
+                "field_name": F.expr(
+                    f"coalesce(field_name, IF(kind = '{RELATIONSHIPS}', "
+                    "concat('FIELD_', position), NULL))"
+                ),
+                "system_type": F.expr(
+                    f"CASE WHEN column_style THEN system_type WHEN kind = '{LOCAL_REF}' "
+                    "THEN 'USR' ELSE 'CUSTOM' END"
+                ),
+                "is_local_ref": F.expr(
+                    f"(NOT column_style AND kind = '{LOCAL_REF}') OR contains(position, '.')"
+                ),
             }
         )
+        .withColumn(
+            "is_custom_field",
+            F.expr(f"NOT column_style OR coalesce(upper(system_type) IN ({custom}), false)"),
+        )
+        .filter(
+            "position IS NOT NULL AND field_name IS NOT NULL AND "
+            f"(kind <> '{RELATIONSHIPS}' OR target_application IS NOT NULL)"
+        )
     )
 
 
-def _ranked(rows: DataFrame, columns: tuple[str, ...]) -> DataFrame:
-    rank = F.lit(None).cast("int")
-    for kind, value in SOURCE_RANK.items():
-        rank = F.when(F.col("kind") == kind, value).otherwise(rank)
-    return rows.select(*columns, rank.alias("source_rank"), "ordinal")
+def column_style_problems(docs: DataFrame) -> DataFrame:
+    """``source, message`` of every column-style document that cannot be loaded."""
+    no_row = F.concat(F.lit("No <ROW> element found: "), F.col("source"))
+    no_columns = F.concat(
+        F.lit("Repeated <C1> names and <C3> positions are required: "), F.col("source")
+    )
+    return (
+        docs.filter("column_style")
+        .select(
+            "source",
+            F.when(F.col("children").isNull(), no_row)
+            .when(F.expr("NOT array_contains(children.tag, 'C1')"), no_columns)
+            .when(F.expr("NOT array_contains(children.tag, 'C3')"), no_columns)
+            .alias("message"),
+        )
+        .filter(F.col("message").isNotNull())
+    )
 
 
 def load_fields(docs: DataFrame) -> DataFrame:
     """Every field definition of every document, with its precedence."""
-    column_style = _ranked(column_style_fields(docs), FIELD_COLUMNS)
-    for kind in (LOCAL_REF, CUSTOMIZATION):
-        column_style = column_style.unionByName(
-            _ranked(node_style_fields(docs, kind), FIELD_COLUMNS)
-        )
-    return column_style
+    fields = definitions(docs).filter(F.col("kind") != RELATIONSHIPS)
+    return fields.select(*FIELD_COLUMNS, "source_rank", "ordinal")
+
+
+def as_relationship(defined: DataFrame) -> DataFrame:
+    """Relationship attributes of definitions; null target where there is none.
+
+    Column-style rows name a target in C8; node-style fields register none.
+    """
+    from_column = F.when(F.col("column_style"), F.col("relationship_target"))
+    return defined.withColumns(
+        {
+            "target_application": F.coalesce("target_application", from_column),
+            "relationship_type": F.when(from_column.isNotNull(), F.lit(SCHEMA_RELATIONSHIP))
+            .otherwise(F.col("relationship_type")),
+        }
+    )
 
 
 def load_relationships(docs: DataFrame) -> DataFrame:
     """Relationships named in C8 and in relationship documents, with precedence."""
-    derived = (
-        column_style_fields(docs)
-        .filter(F.col("relationship_target").isNotNull())
-        .withColumnRenamed("relationship_target", "target_application")
-        .withColumn("relationship_type", F.lit(SCHEMA_RELATIONSHIP))
-    )
-    explicit = (
-        _node_rows(docs, RELATIONSHIPS)
-        .filter(F.col("position").isNotNull() & F.col("target_application").isNotNull())
-        .withColumn(
-            "field_name",
-            F.coalesce("field_name", F.concat(F.lit("FIELD_"), F.col("position"))),
-        )
-    )
-    return _ranked(derived, RELATIONSHIP_COLUMNS).unionByName(
-        _ranked(explicit, RELATIONSHIP_COLUMNS)
-    )
+    linked = as_relationship(definitions(docs)).filter(F.col("target_application").isNotNull())
+    return linked.select(*RELATIONSHIP_COLUMNS, "source_rank", "ordinal")

@@ -205,11 +205,14 @@ def event_records(spark: SparkSession, sf: str) -> DataFrame:
 
 def literal_catalog(spark: SparkSession, schemas: dict[str, str]) -> DataFrame:
     """Catalog of a few literal schema documents: its size does not depend on the data."""
-    rows = [(app, f"{app}.xml", STANDARD_SELECTION, doc) for app, doc in schemas.items()]
-    files = spark.createDataFrame(
-        rows, "app_name STRING, source STRING, kind STRING, content STRING"
-    ).coalesce(1)
-    return catalog.catalog(metadata.documents(files))
+    rows = F.array(*(
+        F.struct(
+            lit(app).alias("app_name"), lit(f"{app}.xml").alias("source"),
+            lit(STANDARD_SELECTION).alias("kind"), lit(document).alias("content"),
+        )
+        for app, document in schemas.items()
+    ))
+    return catalog.catalog(metadata.documents(spark.range(1).select(F.inline(rows))))
 
 
 def cells_of(rendered: DataFrame) -> DataFrame:
