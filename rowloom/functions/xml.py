@@ -1,11 +1,16 @@
 """Column expressions that read numbered XML records without leaving the JVM.
 
-A record body is the text between ``<row>`` and ``</row>``.  The common body is
-*flat*: a list of elements that hold only text.  A flat body can be cut at every
-``<`` and each piece read with plain string functions, which is several times
-cheaper than an XML parse per record.  Bodies that are not flat (child elements
-inside a cell, ``>`` inside an attribute) go through ``from_xml`` once and are
-written back as a flat body, so both kinds continue on the same path.
+A record body is the text between ``<row>`` and ``</row>``.  One regular
+expression turns a plain body, a list of ``<cN>`` elements that hold only text,
+into a *packed* string of cells that is cut with ``split``.  That is several
+times cheaper than an XML parse per record.  Whatever the expression does not
+match (child elements, other tags, unusual attributes) leaves a ``<`` behind;
+such bodies go through ``from_xml`` instead and are packed from its result.
+
+A packed cell is ``CELL position FIELD m FIELD s FIELD text FIELD``.  The two
+marks are control characters, which XML does not allow in any document.  An
+index is an opening quote and its value, or nothing when the attribute is
+absent; the text is still escaped.
 """
 
 from __future__ import annotations
@@ -27,21 +32,32 @@ _ATTRS = r"((?:[^>\"'/]|\"[^\"]*\"|'[^']*')*+)"
 # One comment, CDATA section or processing instruction, or a run of anything else.
 _TOKENS = r"(?s)<!--.*?-->|<!\[CDATA\[.*?\]\]>|<\?.*?\?>|<[^<]*|[^<]+"
 
-# A start tag, text, and another start tag: some element has an element child.
-_NESTED = r"<[^/<>!?](?:[^<>]*[^/<>])?>[^<]*<[^/]"
-# A quoted attribute value that holds '>'.
-_GT_IN_ATTRIBUTE = r"=\s*(?:\"[^\"<]*>|'[^'<]*>)"
+CELL = "\x02"
+FIELD = "\x01"
+
+_INDEX = r"=(\"[^\"<>&\n\t]*)\""
+_PLAIN_CELL = (
+    rf"<{_PREFIX}[cC]([0-9]+)(?:\s+m{_INDEX})?(?:\s+s{_INDEX})?\s*"
+    r"(?:/>|>([^<]*)</[^>]*>)"
+)
+_PACKED_CELL = f"{CELL}$1{FIELD}$2{FIELD}$3{FIELD}$4{FIELD}"
 
 _CHILDREN = "e ARRAY<STRUCT<`_rl-tag` STRING, _m STRING, _s STRING, v STRING>>"
 
+# Code points of white space: up to the blank, two in Latin-1, the rest from here.
+_BLANK = 32
+_LATIN_BLANKS = (0x85, 0xA0)
+_OTHER_BLANKS = 0x1680
+
 
 def strip(text: Column) -> Column:
-    """Remove leading and trailing Unicode whitespace."""
-    return F.btrim(text, F.lit(STRIPPED))
+    """Remove leading and trailing Unicode whitespace, looking at the ends first."""
 
+    def blank(code: Column) -> Column:
+        return (code <= _BLANK) | code.isin(*_LATIN_BLANKS) | (code >= _OTHER_BLANKS)
 
-def blank_to_null(text: Column) -> Column:
-    return F.nullif(strip(text), F.lit(""))
+    ends = blank(F.ascii(text)) | blank(F.ascii(F.right(text, F.lit(1))))
+    return F.when(ends, F.btrim(text, F.lit(STRIPPED))).otherwise(text)
 
 
 def escape(text: Column) -> Column:
@@ -85,13 +101,9 @@ def unix_newlines(text: Column) -> Column:
     return F.when(text.contains("\r"), F.regexp_replace(text, r"\r\n?", "\n")).otherwise(text)
 
 
-def flatten(body: Column) -> Column:
-    """Rewrite a body that is not flat as a flat one.
-
-    Every element becomes ``<e rl-tag="name">`` with its leading text in ``<v>``;
-    one ``from_xml`` then returns the direct children in document order, and they
-    are written back as ``<name m= s=>text</name>``.
-    """
+def _pack_parsed(body: Column) -> Column:
+    """Pack any body: every element becomes ``<e rl-tag="name">`` with its leading
+    text in ``<v>``, and one ``from_xml`` returns the direct children in order."""
     marked = F.regexp_replace(body, r"(<[^>]*?\s)([MS])(\s*=\s*[\"'])", "$1rl-$2$3")
     marked = F.regexp_replace(marked, r"</[^>]*>", "</e>")
     marked = F.regexp_replace(
@@ -106,74 +118,52 @@ def flatten(body: Column) -> Column:
         {"mode": "FAILFAST", "ignoreSurroundingSpaces": "false"},
     )
 
-    def attribute(name: str, value: Column) -> Column:
-        return F.coalesce(
-            F.concat(F.lit(f' {name}="'), escape(value), F.lit('"')), F.lit("")
-        )
+    def index(value: Column) -> Column:
+        return F.coalesce(F.concat(F.lit('"'), value), F.lit(""))
 
-    def element(child: Column) -> Column:
-        return F.concat(
-            F.lit("<"), child["_rl-tag"],
-            attribute("m", child["_m"]), attribute("s", child["_s"]),
-            F.lit(">"), escape(F.coalesce(child["v"], F.lit(""))), F.lit("</e>"),
+    def packed(child: Column) -> Column:
+        position = F.regexp_extract(child["_rl-tag"], r"^[cC]([0-9]+)$", 1)
+        mark = F.lit(FIELD)
+        text = escape(F.coalesce(child["v"], F.lit("")))
+        cell = F.concat(
+            F.lit(CELL), position, mark, index(child["_m"]), mark, index(child["_s"]),
+            mark, text, mark,
         )
+        return F.when(position != "", cell).otherwise(F.lit(""))
 
-    return F.coalesce(F.array_join(F.transform(parsed["e"], element), ""), F.lit(""))
-
-
-def flat_body(body: Column) -> Column:
-    """The body itself when it is flat, else its flat form. Needs markup stripped."""
-    irregular = body.rlike(_NESTED) | body.rlike(_GT_IN_ATTRIBUTE)
-    return F.when(irregular, flatten(body)).otherwise(body)
+    return F.coalesce(F.array_join(F.transform(parsed["e"], packed), ""), F.lit(""))
 
 
-# --- one piece of a flat body: the text between two '<' --------------------- #
-#
-# These expressions are small on purpose: the operators stage them in separate
-# projections, so each regular expression runs once per cell and the generated
-# code of a stage stays small enough for the JIT compiler.
+def pack_plain(body: Column) -> Column:
+    """Pack the plain cells of a body that has no comments or CDATA left."""
+    return F.regexp_replace(body, _PLAIN_CELL, _PACKED_CELL)
 
 
-def pieces(flat: Column) -> Column:
-    return F.split(flat, "<")
+def pack(body: Column, plain: Column) -> Column:
+    """``plain`` if it is complete, else the body packed by the XML parser."""
+    incomplete = plain.contains("<") | body.contains(CELL) | body.contains(FIELD)
+    return F.when(incomplete, _pack_parsed(body)).otherwise(plain)
 
 
-def piece_tag(piece: Column) -> Column:
-    """Local tag name of an element piece, ``''`` for end tags and loose text."""
-    return F.regexp_extract(piece, rf"^{_PREFIX}({_NAME})(?=[\s/>])", 1)
-
-
-def piece_position(piece: Column) -> Column:
-    """The number in ``cN``, ``''`` for any other piece."""
-    return F.regexp_extract(piece, rf"^{_PREFIX}[cC]([0-9]+)(?=[\s/>])", 1)
-
-
-def piece_head(piece: Column) -> Column:
-    """Tag name and attributes."""
-    return F.substring_index(piece, ">", 1)
-
-
-def raw_attribute(head: Column, name: str) -> Column:
-    """Opening quote and raw value of an attribute (exact name), ``''`` if absent."""
-    walk = rf"(?:\s+(?!{name}\s*=)[^\s=]+\s*=\s*(?:\"[^\"]*\"|'[^']*'))*"
-    found = F.regexp_extract(
-        head, rf"^[^\s]+{walk}\s+{name}\s*=\s*(\"[^\"]*|'[^']*)", 1
-    )
-    return F.when(head.contains("="), found).otherwise(F.lit(""))
+def packed_cells(packed: Column) -> Column:
+    """The packed cells; the first entry is the loose text before any cell."""
+    return F.split(packed, CELL)
 
 
-def attribute_value(raw: Column) -> Column:
-    """Null when absent, ``''`` when empty; white space becomes spaces."""
-    return F.when(raw != "", F.translate(F.substr(raw, F.lit(2)), "\n\t", "  "))
+def cell_fields(cell: Column) -> Column:
+    """Position, m, s and text of a packed cell."""
+    return F.split(cell, FIELD)
 
 
-def piece_text(piece: Column) -> Column:
-    """Raw text after the start tag, up to the next tag."""
-    return F.substr(piece, F.instr(piece, ">") + 1)
+def index_value(raw: Column) -> Column:
+    """Null when the attribute is absent, ``''`` when it is empty."""
+    return F.when(raw != "", F.substr(raw, F.lit(2)))
 
 
-def raw_first_value(flat: Column, position: str) -> Column:
-    """``>text`` or ``/>`` of the first ``cN`` with exactly this position, or ``''``."""
+def first_text(packed: Column, position: str) -> Column:
+    """``FIELD`` and text of the first cell with exactly this position, or ``''``."""
     return F.regexp_extract(
-        flat, rf"<{_PREFIX}[cC]{position}(?:\s[^<>]*?)?(/>|>[^<]*)", 1
+        packed,
+        f"{CELL}{position}{FIELD}[^{FIELD}]*{FIELD}[^{FIELD}]*({FIELD}[^{FIELD}]*)",
+        1,
     )

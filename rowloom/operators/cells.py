@@ -11,85 +11,63 @@ from rowloom.functions import xml
 
 ID_POSITION = "1"
 
+RecordId = Callable[[Column], Column]
 
-def exploded(records: DataFrame, body: str = "body") -> DataFrame:
-    """Pieces of each body with their document order: ``ord, piece``."""
-    keep = [c for c in records.columns if c != body]
-    return (
-        records.withColumn("flat", xml.flat_body(F.col(body)))
-        .select(*keep, F.posexplode(xml.pieces(F.col("flat"))).alias("ord", "piece"))
-        .filter(F.col("ord") > 0)
-    )
 
+def packed_records(
+    records: DataFrame, body: str = "body", record_id: RecordId | None = None
+) -> DataFrame:
+    """Replace the body by its packed cells, and add ``record_id``.
 
-def piece_values(pieces: DataFrame, *names: str) -> DataFrame:
-    """Replace ``piece`` by the named attributes and the stripped ``text``."""
-    keep = [c for c in pieces.columns if c != "piece"]
-    piece, head = F.col("piece"), F.col("head")
-    split = pieces.select(
-        *keep, xml.piece_head(piece).alias("head"), xml.piece_text(piece).alias("text")
-    )
-    raw = split.select(
-        *keep,
-        *(xml.raw_attribute(head, n).alias(n) for n in names),
-        F.when(head.endswith("/"), F.lit("")).otherwise(F.col("text")).alias("text"),
+    The record id is the text of the first cell at position 1, read before the
+    cells are exploded, or whatever ``record_id`` makes of the body.
+    """
+    keep = [c for c in records.columns if c != body]
+    plain = records.withColumn("plain", xml.pack_plain(F.col(body)))
+    packed = plain.select(
+        *keep, *([body] if record_id else []),
+        xml.pack(F.col(body), F.col("plain")).alias("packed"),
     )
-    values = raw.select(*keep, *(xml.attribute_value(F.col(n)).alias(n) for n in names), "text")
-    return values.select(
-        *keep,
-        *(xml.unescape(F.col(n)).alias(n) for n in names),
-        xml.strip(xml.unescape(F.col("text"))).alias("text"),
-    )
-
-
-def elements(records: DataFrame, body: str = "body") -> DataFrame:
-    """Direct child elements of each body: the other columns, ``ord, tag, text``."""
-    tagged = exploded(records, body).withColumn("tag", xml.piece_tag(F.col("piece")))
-    return piece_values(tagged.filter(F.col("tag") != ""))
-
-
-def with_record_id(
-    records: DataFrame, record_id: Callable[[Column], Column] | None = None
-) -> DataFrame:
-    """Add ``record_id``, read from the ``flat`` body before it is exploded."""
-    if record_id is not None:
-        return records.withColumn("record_id", record_id(F.col("flat")))
-    keep = records.columns
-    raw, text = F.col("id_raw"), F.col("id_text")
-    return (
-        records.withColumn("id_raw", xml.raw_first_value(F.col("flat"), ID_POSITION))
-        .select(
-            *keep,
-            F.when(raw == "/>", F.lit("")).when(raw != "", F.substr(raw, F.lit(2))).alias("id_text"),
-        )
-        .select(*keep, xml.strip(xml.unescape(text)).alias("record_id"))
+    if record_id:
+        return packed.select(*keep, "packed", record_id(F.col(body)).alias("record_id"))
+    first = packed.withColumn("first", xml.first_text(F.col("packed"), ID_POSITION))
+    text = first.select(
+        *keep, "packed",
+        F.when(F.col("first") != "", F.substr("first", F.lit(2))).alias("id_text"),
     )
+    plain_id = text.select(*keep, "packed", xml.unescape(F.col("id_text")).alias("id_text"))
+    return plain_id.select(*keep, "packed", xml.strip(F.col("id_text")).alias("record_id"))
 
 
 def cells(
-    records: DataFrame,
-    body: str = "body",
-    record_id: Callable[[Column], Column] | None = None,
+    records: DataFrame, body: str = "body", record_id: RecordId | None = None
 ) -> DataFrame:
     """Explode records into cells, in document order by ``ord``.
 
     Adds ``record_id, ord, xml_element, raw_position, mv_index, sv_index, value``
     to the columns of ``records``; elements that are not ``cN`` are dropped.
+    The steps are separate projections on purpose: each expression then runs
+    once per cell, and the generated code stays small enough to be compiled.
     """
-    keep = [c for c in records.columns if c != body]
-    flat = records.select(*keep, xml.flat_body(F.col(body)).alias("flat"))
-    pieces = (
-        with_record_id(flat, record_id)
-        .select(*keep, "record_id", F.posexplode(xml.pieces(F.col("flat"))).alias("ord", "piece"))
-        .filter(F.col("ord") > 0)
-        .withColumn("raw_position", xml.piece_position(F.col("piece")))
-        .filter(F.col("raw_position") != "")
+    keep = [*(c for c in records.columns if c != body), "record_id", "ord"]
+    exploded = packed_records(records, body, record_id).select(
+        *keep[:-1], F.posexplode(xml.packed_cells(F.col("packed"))).alias("ord", "cell")
     )
-    return piece_values(pieces, "m", "s").select(
-        *keep, "record_id", "ord",
+    split = exploded.filter(F.col("ord") > 0).select(
+        *keep, xml.cell_fields(F.col("cell")).alias("fields")
+    )
+    names = ("raw_position", "m", "s", "text")
+    raw = split.select(
+        *keep, *(F.get("fields", F.lit(i)).alias(name) for i, name in enumerate(names))
+    )
+    plain = raw.select(
+        *keep, "raw_position", "m", "s", xml.unescape(F.col("text")).alias("text")
+    )
+    return plain.select(
+        *keep,
         F.concat(F.lit("c"), F.col("raw_position")).alias("xml_element"),
         "raw_position",
-        F.col("m").alias("mv_index"),
-        F.col("s").alias("sv_index"),
-        F.col("text").alias("value"),
+        xml.index_value(F.col("m")).alias("mv_index"),
+        xml.index_value(F.col("s")).alias("sv_index"),
+        xml.strip(F.col("text")).alias("value"),
     )

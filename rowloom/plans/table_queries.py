@@ -285,8 +285,8 @@ def multi_app(spark: SparkSession, sf: str) -> DataFrame:
 def custom_record_id(spark: SparkSession, sf: str) -> DataFrame:
     """Records keyed by another position than the first."""
     rendered = records.from_table(customers(spark, sf), "rec", "app_name", "source_file")
-    key = F.regexp_extract("flat", "<c2>([^<]*)", 1)
-    found = cells(rendered, record_id=lambda flat: F.upper(key))
+    key = "<c2>([^<]*)"
+    found = cells(rendered, record_id=lambda body: F.upper(F.regexp_extract(body, key, 1)))
     return found.select("record_id", "xml_element", "value")
 
 
