@@ -17,9 +17,9 @@ UNMAPPED = "UNMAPPED_FIELD"
 LOCAL_REF_UNMAPPED = "LOCAL_REF_WITHOUT_METADATA"
 SUB_WITHOUT_MULTI = "SUB_VALUE_WITHOUT_MULTI_VALUE"
 
-# Copies of a catalog row in the shuffled join: a position that a third of all
-# cells share is spread over this many tasks.
-SALT = 256
+# Copies of a catalog row in the shuffled join: cells of one position go to this
+# many tasks, and adaptive execution splits those further where they are large.
+SALT = 16
 
 _SLIM = (
     "field_name", "system_type", "data_type", "format_rule", "cardinality",

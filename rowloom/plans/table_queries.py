@@ -21,7 +21,6 @@ from rowloom.config import (
     STANDARD_SELECTION,
     PackageConfig,
 )
-from rowloom.functions import wellformed
 from rowloom.functions.xml import escape
 from rowloom.operators import analysis, catalog, metadata, validate
 from rowloom.operators.cells import cells
@@ -47,7 +46,7 @@ FIELDS_PER_DOCUMENT = 25
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return records.spread(spark.read.parquet(f"{sf_dir}/{name}.parquet"))
 
 
 def text(value: Column) -> Column:
@@ -573,14 +572,7 @@ def well_formedness(spark: SparkSession, sf: str) -> DataFrame:
     )
     chunked = files.select("*", F.posexplode("chunks").alias("chunk_no", "chunk"))
     end_tag = records.DEFAULT_END
-    summaries = validate.checked_chunks(chunked, end_tag)
-
-    def fold(splits):
-        import pandas as pd
-
-        return pd.DataFrame([wellformed.fold(splits, end_tag, False)])
-
-    checked = summaries.groupBy("source_file").applyInPandas(fold, wellformed.FILE_DDL)
+    checked = validate.checked_files(validate.checked_chunks(chunked, end_tag), end_tag)
     return checked.select("source_file", "records", col("error").isNull().alias("well_formed"))
 
 

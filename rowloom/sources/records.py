@@ -24,6 +24,7 @@ PROBE_TOKENS = 5000
 
 _PREFIX = r"(?:[^\s/>:<]+:)?"
 _ROW = rf"(?is)<{_PREFIX}row(?:\s[^>]*)?(?<!/)>(.*?)</{_PREFIX}row\s*>"
+_PLAIN_START = "<row>"
 _ROW_START = rf"(?i)<{_PREFIX}row(?=[\s/>])"
 
 
@@ -94,6 +95,42 @@ def bodies(chunk: Column) -> Column:
     return F.regexp_extract_all(chunk, F.lit(_ROW), F.lit(1))
 
 
+def _explode_bodies(table: DataFrame, keep: list[str]) -> DataFrame:
+    """One row per record of the ``text`` column: ``keep``, ``record_no, body``.
+
+    Most texts hold one record and nothing else: blank, ``<row>``, body,
+    ``</row>``.  Those are cut with substring functions, which cost a fraction
+    of the record pattern; all others go through the pattern.
+    """
+    text, before, body = F.col("text"), F.col("before"), F.col("body")
+    inner = F.substring_index(text, DEFAULT_END, 1)
+    cut = table.select(
+        *keep, "text",
+        F.substring_index(inner, _PLAIN_START, 1).alias("before"),
+        F.substring_index(inner, _PLAIN_START, -1).alias("body"),
+    )
+    marked = cut.select(*keep, "text", "before", "body", F.lower("body").alias("low"))
+    low = F.col("low")
+    whole = F.octet_length(before) + F.octet_length(body) + len(_PLAIN_START + DEFAULT_END)
+    plain = (
+        (whole == F.octet_length(text))
+        & ~before.contains("<")
+        & ~low.contains("<row") & ~low.contains("</row") & ~low.contains(":row")
+    )
+    sorted_out = marked.select(*keep, "text", "body", plain.alias("plain"))
+    cleaned = sorted_out.select(
+        *keep, "body", "plain",
+        F.when(F.col("plain"), F.lit("")).otherwise(xml.strip_markup(text)).alias("text"),
+    )
+    markup = F.col("body").contains("<!") | F.col("body").contains("<?")
+    found = (
+        F.when(F.col("plain") & ~markup, F.array("body"))
+        .when(F.col("plain"), F.array(xml.strip_markup(F.col("body"))))
+        .otherwise(bodies(F.col("text")))
+    )
+    return cleaned.select(*keep, F.posexplode(found).alias("record_no", "body"))
+
+
 def row_count(chunk: Column) -> Column:
     """Number of records in a clean chunk, empty and self-closing ones included."""
     return F.regexp_count(chunk, F.lit(_ROW_START))
@@ -103,11 +140,9 @@ def from_chunks(
     chunked: DataFrame, end_tag: str = DEFAULT_END, encoding: str = "UTF-8"
 ) -> DataFrame:
     """Records of a chunk table: its key columns, ``record_no`` and ``body``."""
-    clean = chunked.withColumn(
-        "chunk", whole_chunk(F.col("chunk"), end_tag, encoding)
-    ).withColumn("chunk", xml.strip_markup(F.col("chunk")))
     keys = [c for c in chunked.columns if c not in ("chunk", "file_size")]
-    return clean.select(*keys, F.posexplode(bodies(F.col("chunk"))).alias("record_no", "body"))
+    text = chunked.select(*keys, whole_chunk(F.col("chunk"), end_tag, encoding).alias("text"))
+    return _explode_bodies(text, keys)
 
 
 def stream_records(
@@ -140,5 +175,14 @@ def count_records(
 def from_table(table: DataFrame, record: str, *keep: str) -> DataFrame:
     """Records held as ``<row>…</row>`` strings in a column of any table."""
     text = table.select(*keep, xml.unix_newlines(F.col(record)).alias("text"))
-    clean = text.withColumn("text", xml.strip_markup(F.col("text")))
-    return clean.select(*keep, F.posexplode(bodies(F.col("text"))).alias("record_no", "body"))
+    return _explode_bodies(text, list(keep))
+
+
+def spread(table: DataFrame) -> DataFrame:
+    """A scan with fewer partitions than the cluster has cores, spread over them.
+
+    Rendering and parsing records is bound by CPU, so a small table in one row
+    group would keep one core busy.  Tables with enough splits are left alone.
+    """
+    cores = table.sparkSession.sparkContext.defaultParallelism
+    return table if table.rdd.getNumPartitions() >= cores else table.repartition(cores)
