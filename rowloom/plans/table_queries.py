@@ -398,18 +398,16 @@ def nation_customizations(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def nation_relationships(spark: SparkSession, sf: str) -> DataFrame:
-    """Explicit relationships for every third nation's position; only some have a field."""
+    """Explicit relationships: those without a position are dropped by the loader."""
     key = col("n_nationkey")
     field = F.when(key % 2 == 0, _tag("FIELD", col("n_name"))).otherwise(lit(""))
+    position = F.when(key % 3 == 0, F.concat(lit("60."), text(key)))
     part = F.concat(
-        lit("<LINK>"), field, _tag("LOCATION", F.concat(lit("60."), text(key))),
+        lit("<LINK>"), field, _tag("LOCATION", position),
         _tag("APPLICATION", F.concat(lit("REGION."), text(col("n_regionkey")))),
         _tag("TYPE", lit("FOREIGN_KEY")), lit("</LINK>"),
     )
-    rows = (
-        table(spark, sf, "nation").filter(key % 3 == 0)
-        .select(_app_of(key).alias("app_name"), key.alias("key"), part.alias("part"))
-    )
+    rows = table(spark, sf, "nation").select(_app_of(key).alias("app_name"), key.alias("key"), part.alias("part"))
     return _documents(rows, RELATIONSHIPS, "<RELATIONSHIPS>", "</RELATIONSHIPS>")
 
 

@@ -22,6 +22,9 @@ DEFAULT_END = "</row>"
 PROBE_BYTES = 32 * 1024 * 1024
 PROBE_TOKENS = 5000
 
+# Compressed table bytes that are worth a task of their own when cores are idle.
+SPREAD_BYTES = 128 * 1024
+
 _PREFIX = r"(?:[^\s/>:<]+:)?"
 _ROW = rf"(?is)<{_PREFIX}row(?:\s[^>]*)?(?<!/)>(.*?)</{_PREFIX}row\s*>"
 _PLAIN_START = "<row>"
@@ -179,10 +182,18 @@ def from_table(table: DataFrame, record: str, *keep: str) -> DataFrame:
 
 
 def spread(table: DataFrame) -> DataFrame:
-    """A scan with fewer partitions than the cluster has cores, spread over them.
+    """A scan with fewer partitions than the cluster has cores, spread over more.
 
-    Rendering and parsing records is bound by CPU, so a small table in one row
-    group would keep one core busy.  Tables with enough splits are left alone.
+    Rendering and parsing records is bound by CPU, so a table in one row group
+    would keep one core busy.  The number of partitions follows the size of the
+    files, and a scan that has enough splits is left alone.
     """
-    cores = table.sparkSession.sparkContext.defaultParallelism
-    return table if table.rdd.getNumPartitions() >= cores else table.repartition(cores)
+    spark = table.sparkSession
+    cores = spark.sparkContext.defaultParallelism
+    partitions = table.rdd.getNumPartitions()
+    if partitions >= cores:
+        return table
+    files = spark.read.format("binaryFile").load(table.inputFiles())
+    size = files.agg(F.sum("length")).first()[0] or 0
+    wanted = min(cores, -(-size // SPREAD_BYTES))
+    return table.repartition(wanted) if wanted > partitions else table
