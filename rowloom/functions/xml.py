@@ -27,7 +27,7 @@ STRIPPED = (
 
 _NAME = r"[^\s/<>:=\"'!?]+"
 _PREFIX = rf"(?:{_NAME}:)?"
-_ATTRS = r"((?:[^>\"'/]|\"[^\"]*\"|'[^']*')*+)"
+_ATTRS = r"((?:[^>\"'/]++|\"[^\"]*\"|'[^']*')*+)"
 
 # One comment, CDATA section or processing instruction, or a run of anything else.
 _TOKENS = r"(?s)<!--.*?-->|<!\[CDATA\[.*?\]\]>|<\?.*?\?>|<[^<]*|[^<]+"
@@ -82,10 +82,13 @@ def strip_markup(text: Column) -> Column:
     """Drop comments and processing instructions, turn CDATA into escaped text."""
 
     def plain(token: Column) -> Column:
+        def closed(start: str, end: str) -> Column:
+            return token.startswith(start) & token.endswith(end)
+
         cdata = escape(F.substr(token, F.lit(10), F.length(token) - 12))
         return (
-            F.when(token.startswith("<!--") | token.startswith("<?"), F.lit(""))
-            .when(token.startswith("<![CDATA["), cdata)
+            F.when(closed("<!--", "-->") | closed("<?", "?>"), F.lit(""))
+            .when(closed("<![CDATA[", "]]>"), cdata)
             .otherwise(token)
         )
 
@@ -96,6 +99,17 @@ def strip_markup(text: Column) -> Column:
     ).otherwise(text)
 
 
+def closed_markup(stripped: Column) -> Column:
+    """The text, or an error if a comment or CDATA section is left open in it.
+
+    A text cut at record end tags is cut wrongly where the tag stands inside a
+    comment or CDATA section; this makes such a cut fail instead of going on.
+    """
+    left_open = stripped.contains("<!--") | stripped.contains("<![CDATA[")
+    message = "A comment or CDATA section holds a record end tag or is not closed"
+    return F.when(left_open, F.raise_error(F.lit(message))).otherwise(stripped)
+
+
 def unix_newlines(text: Column) -> Column:
     """XML parsers report every line end as a line feed."""
     return F.when(text.contains("\r"), F.regexp_replace(text, r"\r\n?", "\n")).otherwise(text)

@@ -126,12 +126,15 @@ def _explode_bodies(table: DataFrame, keep: list[str]) -> DataFrame:
         F.when(F.col("plain"), F.lit("")).otherwise(xml.strip_markup(text)).alias("text"),
     )
     markup = F.col("body").contains("<!") | F.col("body").contains("<?")
+    checked = cleaned.select(
+        *keep, "body", "plain", xml.closed_markup(F.col("text")).alias("text")
+    )
     found = (
         F.when(F.col("plain") & ~markup, F.array("body"))
         .when(F.col("plain"), F.array(xml.strip_markup(F.col("body"))))
         .otherwise(bodies(F.col("text")))
     )
-    return cleaned.select(*keep, F.posexplode(found).alias("record_no", "body"))
+    return checked.select(*keep, F.posexplode(found).alias("record_no", "body"))
 
 
 def row_count(chunk: Column) -> Column:
@@ -169,6 +172,7 @@ def count_records(
         chunks(spark, paths, end_tag)
         .select("source_file", whole_chunk(F.col("chunk"), "", encoding).alias("chunk"))
         .withColumn("chunk", xml.strip_markup(F.col("chunk")))
+        .withColumn("chunk", xml.closed_markup(F.col("chunk")))
     )
     return clean.groupBy("source_file").agg(
         F.sum(row_count(F.col("chunk"))).cast("bigint").alias("records")
