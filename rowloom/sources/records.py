@@ -23,7 +23,7 @@ PROBE_BYTES = 32 * 1024 * 1024
 PROBE_TOKENS = 5000
 
 # Compressed table bytes that are worth a task of their own when cores are idle.
-SPREAD_BYTES = 128 * 1024
+SPREAD_BYTES = 16 * 1024
 
 _PREFIX = r"(?:[^\s/>:<]+:)?"
 _ROW = rf"(?is)<{_PREFIX}row(?:\s[^>]*)?(?<!/)>(.*?)</{_PREFIX}row\s*>"
