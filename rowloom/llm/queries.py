@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from rowloom.llm import gif_media, mixing, phrase_index, pii, token_files, url_rules
+from rowloom.llm import gif_media, mixing, near_duplicates, phrase_index, pii, token_files, url_rules
 from rowloom.llm.common import table
 from rowloom.plans.scratch import scratch_path
 
@@ -31,6 +31,11 @@ def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's near-duplicate component."""
+    return near_duplicates.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op6_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's place, length and digest, read back from the token files."""
     path = scratch_path(spark, "tokens")
@@ -60,6 +65,7 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_url_rules": op1_url_rules,
     "op2_mixing": op2_mixing,
+    "op4_near_duplicates": op4_near_duplicates,
     "op6_token_files": op6_token_files,
     "op7_decontamination": op7_decontamination,
     "op8_gif": op8_gif,
