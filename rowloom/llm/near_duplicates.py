@@ -7,7 +7,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rowloom.llm.common import pieces, words
@@ -20,8 +20,13 @@ THRESHOLD = 75
 #: all bands with probability (1 - 0.75 ** 4) ** 32 = 5e-6.
 BANDS, ROWS = 32, 4
 BINS = BANDS * ROWS
-#: Centres that a bucket may put forward in one later round.
-CENTRES = 1024
+#: Bits of the parity sketch that rules out candidates inside the joins that make them, and
+#: how many standard deviations a sketch may be off before a pair is ruled out.  The
+#: first rounds try only pairs whose sketches are within the mean at the threshold,
+#: so that groups grow together before the many pairs near the threshold are tried.
+SKETCH_BITS = 1024
+SIGMAS = 5.0
+EAGER_ROUNDS = 3
 #: Ids of candidate documents are broadcast up to this size; beyond it they are joined by shuffle.
 BROADCAST_BYTES = 64 << 20
 
@@ -79,9 +84,15 @@ def bands(values: np.ndarray) -> np.ndarray:
     return total.view(np.int64)
 
 
+def sketch(hashes: np.ndarray) -> np.ndarray:
+    """Parities of the set over ``SKETCH_BITS`` cells, as 64-bit words: two sets differ where their difference falls oddly."""
+    cells = np.bincount((hashes & np.uint64(SKETCH_BITS - 1)).astype(np.int64), minlength=SKETCH_BITS)
+    return np.packbits((cells & 1).astype(np.uint8)).view(np.int64)
+
+
 def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in pieces(batches, 512):
-        high, low, sizes, buckets = [], [], [], []
+        high, low, sizes, buckets, sketches = [], [], [], [], []
         for text in batch.column(1).to_pylist():
             own = shingles(text)
             key = xxhash.xxh3_128_digest(own.tobytes())
@@ -89,17 +100,19 @@ def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             low.append(int.from_bytes(key[8:], "little", signed=True))
             sizes.append(len(own))
             buckets.append(bands(signature(own)) if len(own) else [])
+            sketches.append(sketch(own) if len(own) else [])
         yield pa.RecordBatch.from_arrays([
             batch.column(0), pa.array(high, pa.int64()), pa.array(low, pa.int64()),
             pa.array(sizes, pa.int64()), pa.array(buckets, pa.list_(pa.int64())),
-        ], names=["doc_id", "node", "check", "n_shingles", "buckets"])
+            pa.array(sketches, pa.list_(pa.int64())),
+        ], names=["doc_id", "node", "check", "n_shingles", "buckets", "sketch"])
 
 
 def signed(docs: DataFrame) -> DataFrame:
-    """``doc_id, node, check, n_shingles, buckets`` of each row; ``node, check`` name its shingle set."""
+    """``doc_id, node, check, n_shingles, buckets, sketch`` of each row; ``node, check`` name its shingle set."""
     ids = docs.select("doc_id", "text")
     kind = ids.schema["doc_id"].dataType.simpleString()
-    ddl = f"doc_id {kind}, node long, check long, n_shingles long, buckets array<long>"
+    ddl = f"doc_id {kind}, node long, check long, n_shingles long, buckets array<long>, sketch array<long>"
     return materialize(ids.mapInArrow(_sign, ddl), "near-signed")
 
 
@@ -167,11 +180,29 @@ def relabelled(known: DataFrame, new: DataFrame) -> DataFrame:
 
 
 def buckets(classes: DataFrame) -> DataFrame:
-    """``bucket, node, n, centre`` for buckets of two nodes or more; the centre is the least node."""
-    members = classes.select(F.explode("buckets").alias("bucket"), "node", "n_shingles")
+    """``node, bucket, centre, n, sketch`` for buckets of two nodes or more; the centre is the least node."""
+    members = classes.select(F.explode("buckets").alias("bucket"), "node")
     stars = members.groupBy("bucket").agg(F.min("node").alias("centre"), F.count("*").alias("m"))
-    shared = stars.where("m > 1").select("bucket", "centre")
-    return materialize(members.join(shared, "bucket"), "near-buckets")
+    shared = members.join(stars.where("m > 1").select("bucket", "centre"), "bucket")
+    own = classes.select("node", F.col("n_shingles").alias("n"), "sketch")
+    return materialize(shared.join(own, "node"), "near-buckets")
+
+
+def may_link(n: Column, own: Column, cn: Column, theirs: Column, sigmas: float) -> Column:
+    """Whether sizes and sketches leave a link possible.
+
+    At the threshold two sets differ in (n + cn) / 7 shingles at most (25 / 175);
+    the sketches of sets d apart differ in bits / 2 * (1 - exp(-2 d / bits)) cells,
+    with the variance bits / 4 * (1 - e) - e * d, e = exp(-4 d / bits).  The condition
+    is part of a join, which so emits only pairs worth a full comparison.
+    """
+    sizes = 100 * F.least(n, cn) >= THRESHOLD * F.greatest(n, cn)
+    most = (n + cn) * ((100.0 - THRESHOLD) / (100 + THRESHOLD))
+    mean = (1 - F.exp(most * (-2.0 / SKETCH_BITS))) * (SKETCH_BITS / 2)
+    e = F.exp(most * (-4.0 / SKETCH_BITS))
+    deviation = F.sqrt(F.greatest((1 - e) * (SKETCH_BITS / 4) - e * most, F.lit(0.0)))
+    cells = sum((F.bit_count(own[i].bitwiseXOR(theirs[i])) for i in range(SKETCH_BITS // 64)), F.lit(0))
+    return sizes & (cells <= mean + sigmas * deviation + 2)
 
 
 def sets_of(docs: DataFrame, classes: DataFrame, members: DataFrame) -> DataFrame:
@@ -193,14 +224,14 @@ def sets_of(docs: DataFrame, classes: DataFrame, members: DataFrame) -> DataFram
     )
 
 
-def pairs_of(chosen: DataFrame, placed: DataFrame) -> DataFrame:
-    """Pairs of each centre with the members of its bucket in other components, of sizes that may be similar."""
-    c = chosen.select("bucket", F.col("node").alias("c"), F.col("label").alias("cl"), F.col("n_shingles").alias("cn"))
-    possible = (F.col("label") != F.col("cl")) & (
-        100 * F.least("n_shingles", "cn") >= THRESHOLD * F.greatest("n_shingles", "cn")
+def pairs_of(chosen: DataFrame, placed: DataFrame, sigmas: float) -> DataFrame:
+    """Pairs of each centre with the members of its bucket in other components that may be linked."""
+    c = chosen.select("bucket", *[F.col(x).alias(f"c_{x}") for x in ("node", "label", "n", "sketch")])
+    possible = (placed["bucket"] == c["bucket"]) & (F.col("label") != F.col("c_label")) & may_link(
+        F.col("n"), F.col("sketch"), F.col("c_n"), F.col("c_sketch"), sigmas
     )
-    return placed.join(c, "bucket").where(possible).select(
-        F.least("c", "node").alias("a"), F.greatest("c", "node").alias("b")
+    return placed.join(c, possible).select(
+        F.least("c_node", "node").alias("a"), F.greatest("c_node", "node").alias("b")
     ).distinct()
 
 
@@ -208,27 +239,34 @@ def components(docs: DataFrame, classes: DataFrame) -> DataFrame:
     """``node, label`` of all nodes that are linked with another.
 
     First each node is tried with the least centre it has: one pair a node.
+    Sizes and sketches rule out most pairs that are not linked, inside the joins.
     Then buckets that still hold several components go on in rounds: centres are
     chosen among the members outside a bucket's largest component, and are
-    paired with all members of other components.  A round gives a bucket's
-    members times ``CENTRES`` pairs at most, a bucket of one component none,
-    and rounds end when every pair of a bucket is joined or was tested: no link
-    within a bucket is lost, and no group is ever paired with itself.
+    paired with all members of other components, sixteen times as many centres in
+    each round as in the one before.  A bucket of one component gives no pairs,
+    and rounds end when every pair of a bucket is joined, was tested or is ruled
+    out by its sketch: no link within a bucket is lost.
     """
     members = buckets(classes)
     sets = sets_of(docs, classes, members)
-    size = members.select("node", "n_shingles").distinct()
-    centre = size.select(F.col("node").alias("centre"), F.col("n_shingles").alias("cn"))
-    near = members.where("node <> centre").join(centre, "centre").where(
-        100 * F.least("n_shingles", "cn") >= THRESHOLD * F.greatest("n_shingles", "cn")
-    )
+    nodes = materialize(members.groupBy("node").agg(
+        F.first("n").alias("n"), F.first("sketch").alias("sketch")
+    ), "near-nodes")
+    star = members.where("node <> centre").select("node", "centre", "n", "sketch").distinct()
+    c = nodes.select(F.col("node").alias("c_node"), F.col("n").alias("c_n"), F.col("sketch").alias("c_sketch"))
+    near = star.join(c, (F.col("centre") == F.col("c_node")) & may_link(
+        F.col("n"), F.col("sketch"), F.col("c_n"), F.col("c_sketch"), SIGMAS
+    ))
     first = near.groupBy("node").agg(F.min("centre").alias("a")).select("a", F.col("node").alias("b"))
     tested = materialize(first, "near-tested")
     links = confirmed(tested, sets)
-    alone = size.select("node", F.col("node").alias("label"))
+    alone = nodes.select("node", F.col("node").alias("label"))
     known = relabelled(alone, labels(links))
-    done = None
+    done, turn = None, 0
     while True:
+        eager = turn < EAGER_ROUNDS
+        centres = 16 ** (1 + turn if eager else 1 + turn - EAGER_ROUNDS)
+        turn += 1
         placed = members.drop("centre").join(known, "node")
         spread = placed.groupBy("bucket").agg(F.min("label").alias("l"), F.max("label").alias("h")).where("l < h")
         placed = materialize(placed.join(spread.select("bucket"), "bucket", "left_semi"), "near-placed")
@@ -237,18 +275,19 @@ def components(docs: DataFrame, classes: DataFrame) -> DataFrame:
         waiting = placed.join(largest, "bucket").where("label <> most").drop("most")
         if done is not None:
             waiting = waiting.join(done, ["bucket", "node"], "left_anti")
-        slot = F.pmod(F.xxhash64("node"), F.lit(CENTRES))
+        slot = F.pmod(F.xxhash64("node"), F.lit(centres))
         least = waiting.groupBy("bucket", slot.alias("slot")).agg(
-            F.min(F.struct("node", "label", "n_shingles")).alias("c")
+            F.min(F.struct("node", "label", "n", "sketch")).alias("c")
         )
         chosen = materialize(least.select("bucket", "c.*"), "near-centres")
         if chosen.isEmpty():
             return known
-        new = materialize(pairs_of(chosen, placed).join(tested, ["a", "b"], "left_anti"), "near-pairs")
+        new = materialize(pairs_of(chosen, placed, 0.0 if eager else SIGMAS).join(tested, ["a", "b"], "left_anti"), "near-pairs")
         links = confirmed(new, sets)
         tested = tested.unionAll(new)
-        own = chosen.select("bucket", "node")
-        done = own if done is None else done.unionAll(own)
+        if not eager:
+            own = chosen.select("bucket", "node")
+            done = own if done is None else done.unionAll(own)
         if not links.isEmpty():
             u, v = (known.select(F.col("node").alias(c), F.col("label").alias(f"{c}l")) for c in "ab")
             between = links.join(u, "a").join(v, "b").select(F.col("al").alias("a"), F.col("bl").alias("b"))
@@ -269,7 +308,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     classes = materialize(
         rows.where("n_shingles > 0").groupBy("node", "check").agg(
             F.min("doc_id").alias("id"), F.first("n_shingles").alias("n_shingles"),
-            F.first("buckets").alias("buckets"),
+            F.first("buckets").alias("buckets"), F.first("sketch").alias("sketch"),
         ), "near-classes"
     )
     known = components(docs, classes)
