@@ -248,3 +248,9 @@ def contamination(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
         ((F.col("n_hit") > 0) & (F.col("n_hit") * HIT_SHARE >= F.col("n_words"))).alias("contaminated"),
         F.size("near").cast("long").alias("n_near"),
     )
+
+
+def clean_documents(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
+    """The rows of ``docs`` that are not contaminated; rows that share an id go if one of them is."""
+    bad = contamination(docs, benchmark).where("contaminated").select(F.col("doc_id").alias("_id")).distinct()
+    return docs.join(bad, F.col("doc_id").eqNullSafe(F.col("_id")), "left_anti")

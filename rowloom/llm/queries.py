@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from rowloom.llm import gif_media, mixing, near_duplicates, phrase_index, pii, token_files, url_rules
+from rowloom.llm import gif_media, mixing, near_duplicates, phrase_index, pii, quality, token_files, url_rules
 from rowloom.llm.common import table
 from rowloom.plans.scratch import scratch_path
 
@@ -57,6 +57,11 @@ def op8_gif(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's quality by both views."""
+    return quality.judged(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Personal data in every document."""
     return pii.digest(pii.find(table(spark, sf_dir, "documents")))
@@ -69,6 +74,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_token_files": op6_token_files,
     "op7_decontamination": op7_decontamination,
     "op8_gif": op8_gif,
+    "op9_quality": op9_quality,
     "op10_pii": op10_pii,
 }
 
