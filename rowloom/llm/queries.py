@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from rowloom.llm import gif_media, mixing, near_duplicates, phrase_index, pii, quality, token_files, url_rules
+from rowloom.llm import gif_media, mixing, near_duplicates, phrase_index, pii, quality, token_files, toxicity, url_rules
 from rowloom.llm.common import table
 from rowloom.plans.scratch import scratch_path
 
@@ -31,6 +31,11 @@ def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's toxicity."""
+    return toxicity.scored(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op4_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's near-duplicate component."""
     return near_duplicates.near_duplicates(table(spark, sf_dir, "documents"))
@@ -70,6 +75,7 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_url_rules": op1_url_rules,
     "op2_mixing": op2_mixing,
+    "op3_toxicity": op3_toxicity,
     "op4_near_duplicates": op4_near_duplicates,
     "op6_token_files": op6_token_files,
     "op7_decontamination": op7_decontamination,
