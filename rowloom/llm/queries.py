@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from rowloom.llm import gif_media, mixing, near_duplicates, phrase_index, pii, quality, token_files, toxicity, url_rules
+from rowloom.llm import gif_media, mixing, near_duplicates, phrase_index, pii, quality, recurrent_lm, token_files, toxicity, url_rules
 from rowloom.llm.common import table
 from rowloom.plans.scratch import scratch_path
 
@@ -41,6 +41,11 @@ def op4_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op5_recurrent_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's log-probability by the counts and by the network."""
+    return recurrent_lm.scored(table(spark, sf_dir, "documents"))
+
+
 def op6_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's place, length and digest, read back from the token files."""
     path = scratch_path(spark, "tokens")
@@ -77,6 +82,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_mixing": op2_mixing,
     "op3_toxicity": op3_toxicity,
     "op4_near_duplicates": op4_near_duplicates,
+    "op5_recurrent_lm": op5_recurrent_lm,
     "op6_token_files": op6_token_files,
     "op7_decontamination": op7_decontamination,
     "op8_gif": op8_gif,
