@@ -42,7 +42,10 @@ def pack(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     misfits = np.zeros(n + max(COUNTS) + 1, np.int32)
     for selector in range(len(COUNTS) - 1, 0, -1):
         count, width = COUNTS[selector], WIDTHS[selector]
-        np.cumsum(values >= np.uint64(1 << width), out=misfits[1:n + 1])
+        wide = values >= np.uint64(1 << width)
+        if n - np.count_nonzero(wide) < min(count, n):
+            continue
+        np.cumsum(wide, out=misfits[1:n + 1])
         misfits[n + 1:] = misfits[n]
         fits = misfits[count:count + n] == misfits[:n]
         jump[fits], chosen[fits] = count, selector
@@ -106,30 +109,37 @@ class Encoder:
         spare = iter(range(256, 512))
         self.letters = {b: chr(b) if b in plain else chr(next(spare)) for b in range(256)}
         self.cache: dict[str, bytes | None] = {}
-        self.known: dict[str, bytes] = {}
-
-    def cut(self, chunk: str) -> list[str]:
-        """Words of a chunk with a space before it; plain words, alone or with a mark after them, need no pattern."""
-        if chunk.isalpha():
-            return [" " + chunk]
-        if chunk[-1] in ".,;:" and chunk[:-1].isalpha():
-            return [" " + chunk[:-1], chunk[-1]]
-        return self.words(" " + chunk)
+        self.marks = {mark: self.word(mark) for mark in ".,;:"}
+
+    def word(self, word: str) -> bytes:
+        """Ids of one word of the pattern."""
+        plain = word[1:] if word[0] == " " else word
+        if plain.isalpha() and plain.isascii():  # letters that stand for themselves
+            letters = self.letters[32] + plain if word[0] == " " else plain
+        else:
+            letters = word.encode().decode("latin-1").translate(self.letters)
+        return array("I", [token.id for token in self.model.tokenize(letters)]).tobytes()
 
     def remember(self, chunks: set[str]) -> None:
-        """Ids of the given chunks with a space before them; None where unsafe."""
-        cuts = {}
+        """Ids of the given chunks with a space before them; None where unsafe.
+
+        Chunks of letters, alone or with a mark after them, need no pattern.
+        """
+        cache, marks = self.cache, self.marks
         for chunk in chunks:
-            if not chunk or chunk[0].isspace() or any(s in chunk for s in self.special):
-                self.cache[chunk] = None
+            if chunk in cache:
+                continue
+            if chunk.isalpha():
+                cache[chunk] = self.word(" " + chunk)
+            elif not chunk or chunk[0].isspace():
+                cache[chunk] = None
+            elif chunk[-1] in marks and chunk[:-1].isalpha():
+                core = chunk[:-1]
+                if core not in cache:
+                    cache[core] = self.word(" " + core)
+                cache[chunk] = cache[core] + marks[chunk[-1]]
             else:
-                cuts[chunk] = self.cut(chunk)
-        known = self.known
-        for word in set().union(*cuts.values()).difference(known):
-            letters = word.encode().decode("latin-1").translate(self.letters)
-            known[word] = array("I", [token.id for token in self.model.tokenize(letters)]).tobytes()
-        for chunk, words in cuts.items():
-            self.cache[chunk] = known[words[0]] if len(words) == 1 else b"".join([known[w] for w in words])
+                cache[chunk] = b"".join(map(self.word, self.words(" " + chunk)))
 
     def encode_whole(self, text: str) -> bytes:
         return np.array(self.whole.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
@@ -137,11 +147,13 @@ class Encoder:
     def __call__(self, texts: list[str]) -> list[bytes]:
         if len(self.cache) > CACHE_CHUNKS:
             self.cache.clear()
-            self.known.clear()
         split = [text.split(" ") for text in texts]
         self.remember(set().union(*(own[1:] for own in split)).difference(self.cache))
         out = []
         for text, own in zip(texts, split):
+            if any(mark in text for mark in self.special):
+                out.append(self.encode_whole(text))
+                continue
             try:
                 ids = b"".join(map(self.cache.__getitem__, own[1:]))
                 out.append(self.encode_whole(own[0]) + ids)
