@@ -7,7 +7,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from rowloom.llm.common import pieces, words
@@ -25,7 +25,7 @@ BINS = BANDS * ROWS
 #: first rounds try only pairs whose sketches are within the mean at the threshold,
 #: so that groups grow together before the many pairs near the threshold are tried.
 SKETCH_BITS = 1024
-SIGMAS = 5.0
+SIGMAS = 4.5
 EAGER_ROUNDS = 3
 #: Ids of candidate documents are broadcast up to this size; beyond it they are joined by shuffle.
 BROADCAST_BYTES = 64 << 20
@@ -224,12 +224,22 @@ def sets_of(docs: DataFrame, classes: DataFrame, members: DataFrame) -> DataFram
     )
 
 
-def pairs_of(chosen: DataFrame, placed: DataFrame, sigmas: float) -> DataFrame:
-    """Pairs of each centre with the members of its bucket in other components that may be linked."""
-    c = chosen.select("bucket", *[F.col(x).alias(f"c_{x}") for x in ("node", "label", "n", "sketch")])
-    possible = (placed["bucket"] == c["bucket"]) & (F.col("label") != F.col("c_label")) & may_link(
+def pairs_of(chosen: DataFrame, placed: DataFrame, sigmas: float, every: DataFrame | None = None) -> DataFrame:
+    """Pairs of each centre with the members of its bucket in other components that may be linked.
+
+    With ``every``, the buckets of each node, a pair is made only in the first
+    bucket that its nodes share.
+    """
+    if every is not None:
+        chosen, placed = chosen.join(every, "node"), placed.join(every, "node")
+    c = chosen.select(*[F.col(x).alias(f"c_{x}") for x in chosen.columns])
+    possible = (F.col("bucket") == F.col("c_bucket")) & (F.col("label") != F.col("c_label")) & may_link(
         F.col("n"), F.col("sketch"), F.col("c_n"), F.col("c_sketch"), sigmas
     )
+    if every is not None:
+        place = F.array_position("buckets", F.col("bucket")).cast("int") - 1
+        earlier = [F.slice(own, F.lit(1), place) for own in ("buckets", "c_buckets")]
+        possible = possible & ~F.arrays_overlap(*earlier)
     return placed.join(c, possible).select(
         F.least("c_node", "node").alias("a"), F.greatest("c_node", "node").alias("b")
     ).distinct()
@@ -242,7 +252,7 @@ def components(docs: DataFrame, classes: DataFrame) -> DataFrame:
     Sizes and sketches rule out most pairs that are not linked, inside the joins.
     Then buckets that still hold several components go on in rounds: centres are
     chosen among the members outside a bucket's largest component, and are
-    paired with all members of other components, sixteen times as many centres in
+    paired with all members of other components, several times as many centres in
     each round as in the one before.  A bucket of one component gives no pairs,
     and rounds end when every pair of a bucket is joined, was tested or is ruled
     out by its sketch: no link within a bucket is lost.
@@ -262,10 +272,11 @@ def components(docs: DataFrame, classes: DataFrame) -> DataFrame:
     links = confirmed(tested, sets)
     alone = nodes.select("node", F.col("node").alias("label"))
     known = relabelled(alone, labels(links))
+    every = materialize(classes.select("node", "buckets").join(nodes.select("node"), "node", "left_semi"), "near-every")
     done, turn = None, 0
     while True:
         eager = turn < EAGER_ROUNDS
-        centres = 16 ** (1 + turn if eager else 1 + turn - EAGER_ROUNDS)
+        centres = 4 ** turn if eager else 16 ** (1 + turn - EAGER_ROUNDS)
         turn += 1
         placed = members.drop("centre").join(known, "node")
         spread = placed.groupBy("bucket").agg(F.min("label").alias("l"), F.max("label").alias("h")).where("l < h")
@@ -282,7 +293,9 @@ def components(docs: DataFrame, classes: DataFrame) -> DataFrame:
         chosen = materialize(least.select("bucket", "c.*"), "near-centres")
         if chosen.isEmpty():
             return known
-        new = materialize(pairs_of(chosen, placed, 0.0 if eager else SIGMAS).join(tested, ["a", "b"], "left_anti"), "near-pairs")
+        new = materialize((
+            pairs_of(chosen, placed, 0.0) if eager else pairs_of(chosen, placed, SIGMAS, every)
+        ).join(tested, ["a", "b"], "left_anti"), "near-pairs")
         links = confirmed(new, sets)
         tested = tested.unionAll(new)
         if not eager:
@@ -328,18 +341,11 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 def distinct_documents(docs: DataFrame) -> DataFrame:
     """One row of each group of near-duplicates, with the columns of ``docs``; rows without words all stay.
 
-    Copies of one id and shingle set give one row, the one with the least text.
+    Rows that share a kept id give one row, the first in order of a hash of its text.
     """
     judged = near_duplicates(docs)
-    kept = judged.where("kept or n_shingles = 0").select(
-        F.col("doc_id").alias("_id"), (F.col("n_shingles") == 0).alias("_empty")
-    ).distinct()
+    kept = judged.where("kept").select("doc_id").distinct()
     empty = ~F.coalesce(F.col("text"), F.lit("")).rlike(r"[^\x20\x09-\x0D]")
-    same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_empty") == empty)
-    met = docs.join(kept, same, "left_semi")
-    worded = met.where(~empty)
-    repeated = worded.groupBy("doc_id").count().where("count > 1").select(F.col("doc_id").alias("_id"))
-    one_of = worded.join(repeated, F.col("doc_id") == F.col("_id"), "left_semi").dropDuplicates(["doc_id"])
-    return met.where(empty).unionAll(
-        worded.join(repeated, F.col("doc_id") == F.col("_id"), "left_anti")
-    ).unionAll(one_of)
+    own = Window.partitionBy("doc_id").orderBy(F.xxhash64("text"), "text")
+    worded = docs.where(~empty).join(kept, "doc_id", "left_semi").withColumn("_copy", F.row_number().over(own))
+    return docs.where(empty).unionByName(worded.where("_copy = 1").select(*docs.columns))
