@@ -11,9 +11,15 @@ SETTING = "spark.checkpoint.dir"
 
 
 def scratch_root(spark: SparkSession) -> str:
-    """The shared folder the cluster names; a temporary folder only where none is set."""
+    """The shared folder the cluster names.
+
+    A local session may set none and gets a temporary folder; on a cluster
+    executors would each write to their own disk, so that is an error.
+    """
     root = spark.conf.get(SETTING, None)
     if not root:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError(f"{SETTING} must name a folder that all executors share")
         root = tempfile.mkdtemp(prefix="spark-")
         spark.conf.set(SETTING, root)
     return root.rstrip("/")
