@@ -22,11 +22,11 @@ BANDS, ROWS = 32, 4
 BINS = BANDS * ROWS
 #: Bits of the parity sketch that rules out candidates inside the joins that make them, and
 #: how many standard deviations a sketch may be off before a pair is ruled out.  The
-#: first rounds try only pairs whose sketches are within the mean at the threshold,
+#: first rounds, of so many centres a bucket, try only pairs whose sketches are within the mean at the threshold,
 #: so that groups grow together before the many pairs near the threshold are tried.
 SKETCH_BITS = 1024
 SIGMAS = 4.5
-EAGER_ROUNDS = 3
+EAGER_CENTRES = (4, 32)
 #: Ids of candidate documents are broadcast up to this size; beyond it they are joined by shuffle.
 BROADCAST_BYTES = 64 << 20
 
@@ -252,10 +252,10 @@ def components(docs: DataFrame, classes: DataFrame) -> DataFrame:
     Sizes and sketches rule out most pairs that are not linked, inside the joins.
     Then buckets that still hold several components go on in rounds: centres are
     chosen among the members outside a bucket's largest component, and are
-    paired with all members of other components, several times as many centres in
-    each round as in the one before.  A bucket of one component gives no pairs,
-    and rounds end when every pair of a bucket is joined, was tested or is ruled
-    out by its sketch: no link within a bucket is lost.
+    paired with all members of other components; more of them in the second round,
+    and in the last one all.  A bucket of one component gives no pairs.  In the end
+    every pair of a bucket is joined, was tested or is ruled out by its
+    sketch: no link within a bucket is lost.
     """
     members = buckets(classes)
     sets = sets_of(docs, classes, members)
@@ -273,38 +273,31 @@ def components(docs: DataFrame, classes: DataFrame) -> DataFrame:
     alone = nodes.select("node", F.col("node").alias("label"))
     known = relabelled(alone, labels(links))
     every = materialize(classes.select("node", "buckets").join(nodes.select("node"), "node", "left_semi"), "near-every")
-    done, turn = None, 0
-    while True:
-        eager = turn < EAGER_ROUNDS
-        centres = 4 ** turn if eager else 16 ** (1 + turn - EAGER_ROUNDS)
-        turn += 1
+    for centres in (*EAGER_CENTRES, None):
         placed = members.drop("centre").join(known, "node")
         spread = placed.groupBy("bucket").agg(F.min("label").alias("l"), F.max("label").alias("h")).where("l < h")
         placed = materialize(placed.join(spread.select("bucket"), "bucket", "left_semi"), "near-placed")
+        if placed.isEmpty():
+            break
         parts = placed.groupBy("bucket", "label").count()
         largest = parts.groupBy("bucket").agg(F.max(F.struct("count", "label"))["label"].alias("most"))
         waiting = placed.join(largest, "bucket").where("label <> most").drop("most")
-        if done is not None:
-            waiting = waiting.join(done, ["bucket", "node"], "left_anti")
-        slot = F.pmod(F.xxhash64("node"), F.lit(centres))
-        least = waiting.groupBy("bucket", slot.alias("slot")).agg(
-            F.min(F.struct("node", "label", "n", "sketch")).alias("c")
-        )
-        chosen = materialize(least.select("bucket", "c.*"), "near-centres")
-        if chosen.isEmpty():
-            return known
-        new = materialize((
-            pairs_of(chosen, placed, 0.0) if eager else pairs_of(chosen, placed, SIGMAS, every)
-        ).join(tested, ["a", "b"], "left_anti"), "near-pairs")
+        if centres:
+            slot = F.pmod(F.xxhash64("node"), F.lit(centres))
+            least = waiting.groupBy("bucket", slot.alias("slot")).agg(
+                F.min(F.struct("node", "label", "n", "sketch")).alias("c")
+            )
+            pairs = pairs_of(least.select("bucket", "c.*"), placed, 0.0)
+        else:
+            pairs = pairs_of(waiting, placed, SIGMAS, every)
+        new = materialize(pairs.join(tested, ["a", "b"], "left_anti"), "near-pairs")
         links = confirmed(new, sets)
         tested = tested.unionAll(new)
-        if not eager:
-            own = chosen.select("bucket", "node")
-            done = own if done is None else done.unionAll(own)
         if not links.isEmpty():
             u, v = (known.select(F.col("node").alias(c), F.col("label").alias(f"{c}l")) for c in "ab")
             between = links.join(u, "a").join(v, "b").select(F.col("al").alias("a"), F.col("bl").alias("b"))
             known = relabelled(known, labels(between.where("a <> b").distinct()))
+    return known
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
