@@ -17,7 +17,7 @@ END_ID = 0
 #: A block is closed at so many ids; a longer document is a block of its own.
 BLOCK_IDS = 32_768
 #: Chunks of text whose ids a task remembers; the memory is emptied when full.
-CACHE_CHUNKS = 500_000
+CACHE_CHUNKS = 300_000
 
 # Ids per word and bits per id of each selector.  Selector 0 marks
 # an id of more than 60 bits; its word holds the id's place among the escapes.
@@ -85,8 +85,8 @@ def unpack(words: np.ndarray, escapes: np.ndarray, n: int) -> np.ndarray:
     return out[:n]
 
 
-#: How a byte-level vocabulary writes a space, a fixed value.
-SPACE = "\u0120"
+#: The word pattern of this byte-level vocabulary, a fixed value.
+WORD_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
 
 class Encoder:
@@ -98,65 +98,48 @@ class Encoder:
     """
 
     def __init__(self, path: str):
+        import regex
         from tokenizers import Tokenizer
 
         self.whole = Tokenizer.from_file(path)
         self.model = self.whole.model
+        self.special = [t.content for t in self.whole.get_added_tokens_decoder().values()]
+        self.words = regex.compile(WORD_PATTERN).findall
         plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
         spare = iter(range(256, 512))
         self.letters = {b: chr(b) if b in plain else chr(next(spare)) for b in range(256)}
-        self.special = [t.content for t in self.whole.get_added_tokens_decoder().values()]
-        vocabulary = self.whole.get_vocab(with_added_tokens=True)
-        self.starts = np.zeros(max(vocabulary.values()) + 1, bool)
-        self.starts[[i for token, i in vocabulary.items() if token.startswith(SPACE)]] = True
         self.cache: dict[str, bytes | None] = {}
-        self.marks = {mark: self.encode_whole(mark) for mark in ".,;:"}
+        self.marks = {mark: self.word(mark) for mark in ".,;:"}
 
-    def ids_of(self, chunks: list[str]) -> list[bytes]:
-        """Ids of chunks with a space before each, encoded as one text.  No chunks, no ids.
-
-        A space stands only at the start of a chunk's first token, which so marks
-        where the ids of a chunk begin.
-        """
-        if not chunks:
-            return []
-        text = "".join(" " + chunk for chunk in chunks)
-        if any(mark in text for mark in self.special):
-            return [self.encode_whole(" " + chunk) for chunk in chunks]
-        ids = np.array(self.whole.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4")
-        cuts = (4 * np.flatnonzero(self.starts[ids])).tolist()
-        if len(cuts) != len(chunks):
-            return [self.encode_whole(" " + chunk) for chunk in chunks]
-        data = ids.tobytes()
-        return [data[i:j] for i, j in zip(cuts, [*cuts[1:], len(data)])]
+    def word(self, word: str) -> bytes:
+        """Ids of one word of the pattern."""
+        plain = word[1:] if word[0] == " " else word
+        if plain.isalpha() and plain.isascii():  # letters that stand for themselves
+            letters = self.letters[32] + plain if word[0] == " " else plain
+        else:
+            letters = word.encode().decode("latin-1").translate(self.letters)
+        return array("I", [token.id for token in self.model.tokenize(letters)]).tobytes()
 
     def remember(self, chunks: set[str]) -> None:
         """Ids of the given chunks with a space before them; None where unsafe.
 
-        Letters alone are one word of the model, which is asked directly; a mark after
-        them is an id of its own.
+        Chunks of letters, alone or with a mark after them, need no pattern.
         """
         cache, marks = self.cache, self.marks
-        marked, new = [], set()
         for chunk in chunks:
-            if not chunk or chunk[0].isspace():
+            if chunk in cache:
+                continue
+            if chunk.isalpha():
+                cache[chunk] = self.word(" " + chunk)
+            elif not chunk or chunk[0].isspace():
                 cache[chunk] = None
             elif chunk[-1] in marks and chunk[:-1].isalpha():
-                marked.append(chunk)
-                new.add(chunk[:-1])
-            else:
-                new.add(chunk)
-        new.difference_update(cache)
-        plain, model, letters = [], self.model, self.letters
-        for chunk in new:
-            if chunk.isalpha():
-                word = chunk if chunk.isascii() else chunk.encode().decode("latin-1").translate(letters)
-                cache[chunk] = array("I", [token.id for token in model.tokenize(SPACE + word)]).tobytes()
+                core = chunk[:-1]
+                if core not in cache:
+                    cache[core] = self.word(" " + core)
+                cache[chunk] = cache[core] + marks[chunk[-1]]
             else:
-                plain.append(chunk)
-        cache.update(zip(plain, self.ids_of(plain)))
-        for chunk in marked:
-            cache[chunk] = cache[chunk[:-1]] + marks[chunk[-1]]
+                cache[chunk] = b"".join(map(self.word, self.words(" " + chunk)))
 
     def encode_whole(self, text: str) -> bytes:
         return np.array(self.whole.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
