@@ -4,7 +4,7 @@ A record body is the text between ``<row>`` and ``</row>``.  One regular
 expression turns a plain body, a list of ``<cN>`` elements that hold only text,
 into a *packed* string of cells that is cut with ``split``.  That is several
 times cheaper than an XML parse per record.  Whatever the expression does not
-match (child elements, other tags, unusual attributes) leaves a ``<`` behind;
+match (child elements, other tags, an end tag of another name, unusual attributes) leaves a ``<`` behind;
 such bodies go through ``from_xml`` instead and are packed from its result.
 
 A packed cell is ``CELL position FIELD m FIELD s FIELD text FIELD``.  The two
@@ -37,10 +37,10 @@ FIELD = "\x01"
 
 _INDEX = r"=(\"[^\"<>&\n\t]*)\""
 _PLAIN_CELL = (
-    rf"<{_PREFIX}[cC]([0-9]+)(?:\s+m{_INDEX})?(?:\s+s{_INDEX})?\s*"
-    r"(?:/>|>([^<]*)</[^>]*>)"
+    rf"<({_PREFIX}[cC]([0-9]+))(?:\s+m{_INDEX})?(?:\s+s{_INDEX})?\s*"
+    r"(?:/>|>([^<]*)</\1\s*>)"
 )
-_PACKED_CELL = f"{CELL}$1{FIELD}$2{FIELD}$3{FIELD}$4{FIELD}"
+_PACKED_CELL = f"{CELL}$2{FIELD}$3{FIELD}$4{FIELD}$5{FIELD}"
 
 _CHILDREN = "e ARRAY<STRUCT<`_rl-tag` STRING, _m STRING, _s STRING, v STRING>>"
 
@@ -117,7 +117,12 @@ def unix_newlines(text: Column) -> Column:
 
 def _pack_parsed(body: Column) -> Column:
     """Pack any body: every element becomes ``<e rl-tag="name">`` with its leading
-    text in ``<v>``, and one ``from_xml`` returns the direct children in order."""
+    text in ``<v>``, and one ``from_xml`` returns the direct children in order.
+    Another one reads the elements by their own names, so that end tags must match."""
+    own = F.regexp_replace(body, rf"<(/?){_PREFIX}({_NAME})", "<$1$2")
+    matching = F.from_xml(
+        F.concat(F.lit("<r>"), own, F.lit("</r>")), "`_rl-none` STRING", {"mode": "FAILFAST"}
+    )
     marked = F.regexp_replace(body, r"(<[^>]*?\s)([MS])(\s*=\s*[\"'])", "$1rl-$2$3")
     marked = F.regexp_replace(marked, r"</[^>]*>", "</e>")
     marked = F.regexp_replace(
@@ -145,7 +150,8 @@ def _pack_parsed(body: Column) -> Column:
         )
         return F.when(position != "", cell).otherwise(F.lit(""))
 
-    return F.coalesce(F.array_join(F.transform(parsed["e"], packed), ""), F.lit(""))
+    out = F.coalesce(F.array_join(F.transform(parsed["e"], packed), ""), F.lit(""))
+    return F.when(matching.isNotNull(), out)
 
 
 def pack_plain(body: Column) -> Column:

@@ -87,6 +87,13 @@ def test_bare_ampersand_fails(spark):
         parse(spark, "<row><c1>a & b</c1></row>")
 
 
+def test_end_tag_of_another_name_fails(spark):
+    for text in ("<row><c1>a</c9></row>", "<row><c1>a</C1></row>", "<row><c1>a</c1></c2></row>"):
+        with pytest.raises(Exception):
+            parse(spark, text)
+    assert parse(spark, "<row><c1>a</c1 ><c2>b</c2\n></row>") == expected("<row><c1>a</c1><c2>b</c2></row>")
+
+
 def test_strip_matches_python(spark):
     blanks = [chr(c) for c in range(0x3001) if chr(c).isspace()]
     texts = [b + "é x" + b for b in blanks] + ["", " ", "é", "日", "​x"]
