@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import pickle
 from collections import Counter
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -13,7 +13,7 @@ from pyspark import TaskContext, cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rowloom.llm.common import bounded_sample, pieces, remainder, words
+from rowloom.llm.common import pieces, remainder, words
 from rowloom.plans.scratch import materialize
 
 FOLDS, HELD_OUT = 5, 1
@@ -25,9 +25,10 @@ HEAD_WORDS, HEAD_BYTES = 150_000, 64
 #: Words the network tells apart; all others are one class with their own counts.
 VOCABULARY = 2_048
 HIDDEN, EMBEDDED = 24, 24
-#: What the network is fitted on: so many segments of training documents, of so many tokens,
-#: with back-propagation cut every BACK tokens while the state is carried on.
-SEGMENTS, SEGMENT, BACK, EPOCHS, GROUP = 2_048, 96, 16, 3, 256
+#: Passes over all training tokens.  A task lays its documents end to end, STREAM tokens at a time or one
+#: longer document, as GROUP lanes at most, of LANE tokens or more; back-propagation
+#: is cut every BACK tokens while the state is carried on.
+EPOCHS, GROUP, LANE, STREAM, BACK = 3, 256, 1_024, 1 << 20, 16
 RATE = 0.01
 #: Tokens of a scoring window; the state is carried from one to the next.
 WINDOW, DOCUMENTS = 64, 1_024
@@ -131,60 +132,90 @@ class Network:
             if cuts[k + 1] > cuts[k]:
                 yield order[cuts[k]:cuts[k + 1]], low, high
 
-    def train(self, segments: np.ndarray) -> None:
-        """Adam over truncated back-propagation; ``segments`` are rows of tokens of one length."""
+    def train(self, streams: Iterable[np.ndarray]) -> int:
+        """Adam over truncated back-propagation, once through each stream; how many tokens were predicted.
+
+        A stream is cut into lanes that meet end to end, so that every token after its first is a target once.
+        """
         state = {k: (np.zeros_like(v), np.zeros_like(v)) for k, v in self.p.items()}
-        rng, t = np.random.default_rng(SEED), 0
-        for _ in range(EPOCHS):
-            order = rng.permutation(len(segments))
-            for at in range(0, len(order), GROUP):
-                own = segments[order[at:at + GROUP]]
-                h = np.zeros((len(own), HIDDEN), np.float32)
-                for start in range(0, own.shape[1] - 1, BACK):
-                    grads, h = self.gradients(own[:, start:start + BACK + 1], h)
-                    t += 1
-                    for k, g in grads.items():
-                        m, v = state[k]
-                        m += 0.1 * (g - m)
-                        v += 0.01 * (g * g - v)
-                        self.p[k] -= RATE * (m / (1 - 0.9 ** t)) / (np.sqrt(v / (1 - 0.99 ** t)) + 1e-6)
-
-    def gradients(self, tokens: np.ndarray, h: np.ndarray) -> tuple[dict[str, np.ndarray], np.ndarray]:
-        """Gradients of the mean loss over one window, and the state after it."""
+        t = seen = 0
+        for stream in streams:
+            n = len(stream) - 1
+            lanes = min(GROUP, max(1, n // LANE))
+            size = -(-n // lanes)
+            filled = np.concatenate([stream, np.zeros(lanes * size - n, stream.dtype)])
+            own = np.lib.stride_tricks.sliding_window_view(filled, size + 1)[::size]
+            left = n - np.arange(lanes) * size
+            h = np.zeros((lanes, HIDDEN), np.float32)
+            for start in range(0, size, BACK):
+                tokens = own[:, start:start + BACK + 1].astype(np.int64)
+                used = np.arange(start, start + tokens.shape[1] - 1) < left[:, None]
+                grads, h = self.gradients(tokens, h, used)
+                t += 1
+                for k, g in grads.items():
+                    m, v = state[k]
+                    m += 0.1 * (g - m)
+                    v += 0.01 * (g * g - v)
+                    self.p[k] -= RATE * (m / (1 - 0.9 ** t)) / (np.sqrt(v / (1 - 0.99 ** t)) + 1e-6)
+            seen += n
+        return seen
+
+    def gradients(
+        self, tokens: np.ndarray, h: np.ndarray, used: np.ndarray | None = None
+    ) -> tuple[dict[str, np.ndarray], np.ndarray]:
+        """Gradients of the mean loss over one window, and the state after it.
+
+        With ``used``, which targets count, documents follow each other in a row,
+        and the state begins anew after each end, as it does in scoring.
+        """
         p, steps = self.p, tokens.shape[1] - 1
         table = p["emb"] @ p["w"] + p["b"]
         kept, states = [], []
+        going = np.ones((*tokens.shape, 1), np.float32) if used is None else (tokens != 0)[..., None].astype(np.float32)
         for k in range(steps):
+            h = h * going[:, k]
             new, z, r, n, hn = self.step(table[tokens[:, k]], h)
             kept.append((h, z, r, n, hn))
             states.append(new)
             h = new
         out, targets = np.concatenate(states), tokens[:, 1:].T.ravel()
-        scale = 1.0 / len(targets)
+        counted = np.ones(len(targets), np.float32) if used is None else used.T.ravel().astype(np.float32)
+        scale = (counted / max(1.0, float(counted.sum())))[:, None]
         g = {k: np.zeros_like(v) for k, v in p.items()}
         error = _softmax(out @ p["wc"] + p["bc"])
         error[np.arange(len(targets)), self.classes[targets]] -= 1
         error *= scale
         g["wc"], g["bc"], dout = out.T @ error, error.sum(axis=0), error @ p["wc"].T
-        for rows, low, high in self.by_class(targets):
-            error = _softmax(out[rows] @ p["ww"][:, low:high] + p["bw"][low:high])
-            error[np.arange(len(rows)), targets[rows] - low] -= 1
-            error *= scale
-            g["ww"][:, low:high], g["bw"][low:high] = out[rows].T @ error, error.sum(axis=0)
-            dout[rows] += error @ p["ww"][:, low:high].T
+        # Rows in order of the target's class, so that each class is a slice of them.
+        order = np.argsort(self.classes[targets], kind="stable")
+        turned, own, scale, more = out[order], targets[order], scale[order], np.zeros_like(dout)
+        cuts = np.searchsorted(self.classes[own], np.arange(len(self.bounds)))
+        for k, (low, high) in enumerate(zip(self.bounds, self.bounds[1:])):
+            rows = slice(cuts[k], cuts[k + 1])
+            if rows.stop > rows.start:
+                error = _softmax(turned[rows] @ p["ww"][:, low:high] + p["bw"][low:high])
+                error[np.arange(len(error)), own[rows] - low] -= 1
+                error *= scale[rows]
+                g["ww"][:, low:high], g["bw"][low:high] = turned[rows].T @ error, error.sum(axis=0)
+                more[rows] = error @ p["ww"][:, low:high].T
+        dout[order] += more
         dout = dout.reshape(steps, len(tokens), HIDDEN)
-        dh, dtable = np.zeros_like(h), np.zeros_like(table)
+        dh, moved = np.zeros_like(h), np.empty((steps, len(tokens), 3 * HIDDEN), h.dtype)
         for k in range(steps - 1, -1, -1):
             before, z, r, n, hn = kept[k]
             dh = dh + dout[k]
             dn = dh * (1 - z) * (1 - n * n)
             dz = dh * (before - n) * z * (1 - z)
             dr = dn * hn * r * (1 - r)
-            dx = np.concatenate([dz, dr, dn], axis=1)
+            moved[k] = np.concatenate([dz, dr, dn], axis=1)
             du = np.concatenate([dz, dr, dn * r], axis=1)
             g["u"] += before.T @ du
-            np.add.at(dtable, tokens[:, k], dx)
-            dh = dh * z + du @ p["u"].T
+            dh = (dh * z + du @ p["u"].T) * going[:, k]
+        # Sums by token: rows in order of tokens, added up from each token's first.
+        given, dtable = tokens[:, :-1].T.ravel(), np.zeros_like(table)
+        order = np.argsort(given, kind="stable")
+        present, first = np.unique(given[order], return_index=True)
+        dtable[present] = np.add.reduceat(moved.reshape(-1, 3 * HIDDEN)[order], first, axis=0)
         g["emb"], g["w"], g["b"] = dtable @ p["w"].T, p["emb"].T @ dtable, dtable.sum(axis=0)
         size = np.sqrt(sum(float((v * v).sum()) for v in g.values()))
         return {k: v * min(1.0, 1.0 / (size + 1e-9)) for k, v in g.items()}, h
@@ -235,42 +266,103 @@ def _log_softmax_at(logits: np.ndarray, at: np.ndarray) -> np.ndarray:
     return (logits[np.arange(len(at)), at] - total).astype(np.float64)
 
 
-def _segments(size: int, each: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """Segments of tokens, at seeded places of each document; tokens are cut to the longest of the vocabulary."""
+def _encode(shared) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Numbers of the tokens of each text with its end, and a seeded lot that differs from row to row."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in pieces(batches, 128):
+        vocabulary = pickle.loads(shared.value)
+        index, other = {w: i for i, w in enumerate(vocabulary)}, len(vocabulary)
+        draw = np.random.default_rng([SEED, TaskContext.get().partitionId()])
+        for batch in pieces(batches, 256):
             out = []
-            for text, lot in zip(batch.column("text").to_pylist(), batch.column("lot").to_pylist()):
-                tokens = [END, *(w if len(w) <= HEAD_BYTES else b"\0" for w in words(text)), END]
-                draw = np.random.default_rng(lot)
-                for _ in range(each):
-                    at = int(draw.integers(max(1, len(tokens) - size + 1)))
-                    out.append((tokens[at:at + size] + [END] * size)[:size])
-            yield pa.RecordBatch.from_arrays([pa.array(out, pa.list_(pa.binary()))], names=["tokens"])
+            for text in batch.column(0).to_pylist():
+                own = words(text)
+                own.append(END)
+                out.append(np.fromiter((index.get(w, other) for w in own), "<u2", len(own)).tobytes())
+            lots = draw.integers(0, 1 << 62, len(out))
+            yield pa.RecordBatch.from_arrays([pa.array(lots, pa.int64()), pa.array(out, pa.binary())], names=["lot", "tokens"])
+
+    return run
+
+
+def _streams(batches: Iterator[pa.RecordBatch]) -> Iterator[np.ndarray]:
+    """Documents end to end, each stream beginning with the end before its first document."""
+    start = np.zeros(1, "<u2")
+    held, n = [start], 0
+    for batch in pieces(batches, 256):
+        for own in batch.column(0).to_pylist():
+            held.append(np.frombuffer(own, "<u2"))
+            n += len(held[-1])
+            if n >= STREAM:
+                yield np.concatenate(held)
+                held, n = [start], 0
+    if n:
+        yield np.concatenate(held)
+
+
+LEARNED = "part int, n long, weights binary"
+
+
+def _learned(part: int, n: int, weights: np.ndarray) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([
+        pa.array([part], pa.int32()), pa.array([n], pa.int64()), pa.array([weights.astype("<f8").tobytes()], pa.binary())
+    ], names=["part", "n", "weights"])
+
+
+def _train(shared) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """One row a task: the weights after all its documents, times the number of its tokens."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        network = pickle.loads(shared.value)
+        n = network.train(_streams(batches))
+        if n:
+            flat = np.concatenate([v.ravel() for v in network.p.values()]).astype(np.float64)
+            yield _learned(TaskContext.get().partitionId(), n, flat * n)
 
     return run
 
 
+def _sum(rows: list) -> tuple[int, np.ndarray]:
+    """Sums of tokens and weights, in the order of the parts, so that every run rounds alike."""
+    rows = sorted(rows, key=lambda r: r[0])
+    total = np.zeros(len(rows[0][2]) // 8)
+    for row in rows:
+        total += np.frombuffer(row[2], "<f8")
+    return sum(row[1] for row in rows), total
+
+
+def _add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    rows = [tuple(r.values()) for batch in batches for r in batch.to_pylist()]
+    if rows:
+        yield _learned(min(r[0] for r in rows), *_sum(rows))
+
+
 def fit(training: DataFrame, head: Head) -> Network:
-    """The network, its output begun at the corpus counts and fitted on a bounded sample of segments."""
+    """The network, its output begun at the corpus counts and fitted on every token of the training texts.
+
+    Documents are numbered once and dealt to tasks by lot.  In each round every
+    task goes on from the same weights through all its documents; the
+    weights of all tasks are averaged by tokens, first in groups of tasks, then on the driver,
+    which holds about the root of the number of tasks, each of the network's fixed size.
+    """
     # The end of a document is token 0, the start of every document.
     ordered = [END, *[w for w in head.words if w != END]][:VOCABULARY]
     counted = dict(zip(head.words, head.counts.tolist()))
     counts = np.array([counted.get(w, 0) for w in ordered], np.float64)
     network = Network(counts, max(0.0, head.tokens - counts.sum()))
     network.vocabulary = ordered
-    ids = training.select("doc_id").where("doc_id is not null").distinct()
-    chosen = F.broadcast(bounded_sample(ids, F.col("doc_id"), SEGMENTS, SEED))  # at most SEGMENTS ids
-    sample = training.select("doc_id", "text").join(chosen, "doc_id").select(
-        "text", F.pmod(F.xxhash64("doc_id"), F.lit(1 << 31)).alias("lot")
-    )
-    n = sample.count()
-    if n:
-        each = max(1, SEGMENTS // n)
-        rows = sample.mapInArrow(_segments(SEGMENT + 1, each), "tokens array<binary>").limit(2 * SEGMENTS).collect()
-        index = {w: i for i, w in enumerate(ordered)}
-        own = sorted([index.get(bytes(w), network.size) for w in r["tokens"]] for r in rows)
-        network.train(np.array(own, np.int64))
+    share = lambda x: training.sparkSession.sparkContext.broadcast(cloudpickle.dumps(x))
+    dealt = training.select("text").mapInArrow(_encode(share(ordered)), "lot long, tokens binary")
+    tokens = materialize(dealt.repartition("lot").sortWithinPartitions("lot").select("tokens"), "lm-tokens")
+    groups = max(1, int(np.ceil(np.sqrt(tokens.rdd.getNumPartitions()))))
+    for _ in range(EPOCHS):
+        learned = tokens.mapInArrow(_train(share(network)), LEARNED)
+        rows = learned.repartition(groups, F.col("part") % groups).mapInArrow(_add, LEARNED).collect()
+        if rows:
+            n, total = _sum([tuple(r) for r in rows])
+            cuts = np.cumsum([v.size for v in network.p.values()])[:-1]
+            network.p = {
+                k: w.reshape(v.shape).astype(np.float32)
+                for (k, v), w in zip(network.p.items(), np.split(total / n, cuts))
+            }
     return network
 
 

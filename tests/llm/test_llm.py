@@ -202,6 +202,31 @@ def test_recurrent_scores(docs, rows, odd):
     assert recurrent_lm.scored(odd).count() == len(ODD) and recurrent_lm.scored(odd.limit(0)).count() == 0
 
 
+def test_recurrent_learns_from_all(spark):
+    """Two long documents among thousands of short ones are learned from to their ends."""
+    long = " ".join(["left", "right"] * 2_500)
+    texts = [long if i in (40, 2_000) else "a" for i in range(3_000)]
+    ids = [i for i in range(9_000) if zlib.crc32(str(i).encode()) % 5 != 1][:3_000]
+    frame = spark.createDataFrame(list(zip(ids, texts)), "doc_id long, text string")
+    got = [r for r in recurrent_lm.scored(frame).collect() if r["n_tokens"] > 2]
+    assert len(got) == 2 and all(r["score"] > 0.5 * r["base_score"] for r in got), got
+    stream = np.arange(1, 5_001).astype("<u2")
+    net, targets = recurrent_lm.Network(np.ones(6_000), 0.0), []
+    plain = net.gradients
+    net.gradients = lambda t, h, used: (targets.extend(t[:, 1:][used].tolist()), plain(t, h, used))[1]
+    assert net.train([stream]) == 4_999 and sorted(targets) == list(range(2, 5_001))
+
+
+def test_recurrent_gradient_of_documents():
+    """With several documents in a row, gradients are those of documents on their own."""
+    net = recurrent_lm.Network(np.array([5.0, 4, 3, 2, 1]), 2.0)
+    net.p = {k: v.astype(np.float64) for k, v in net.p.items()}
+    tokens, zero = np.array([[0, 3, 2, 0, 4, 1, 0]]), np.zeros((1, recurrent_lm.HIDDEN))
+    both, _ = net.gradients(tokens, zero, np.ones((1, 6), bool))
+    first, second = (net.gradients(tokens[:, a:a + 4], zero)[0] for a in (0, 3))
+    assert all(np.allclose(both[k], (first[k] + second[k]) / 2, atol=1e-6) for k in both)
+
+
 def test_simple8b():
     rng = np.random.default_rng(1)
     for n, high in itertools.product((0, 1, 2, 1000, 40_000), (2, 300, 60_000, 2**32, 2**62)):
