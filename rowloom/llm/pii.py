@@ -14,6 +14,30 @@ from pyspark.sql import functions as F
 KINDS = ("email", "ip", "card", "phone", "iban")
 BASE_KINDS = KINDS[:4]
 
+#: Characters of an IBAN by country code: the registry, and codes in use without it.
+IBAN_LENGTHS = {
+    15: "NO", 16: "BE", 18: "DK FI FK FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK", 21: "CH HR LI LV",
+    22: "BG BH CR DE GB GE IE ME RS VA", 23: "AE GI IL IQ OM SO TL", 24: "AD CZ ES MD PK RO SA SE SK TN VG",
+    25: "AO CV GW LY MZ PT ST", 26: "DZ IR IS TR", 27: "BI CF CG CM DJ FR GA GQ GR IT KM MC MG MR SM TD",
+    28: "AL AZ BF BJ BY CI CY DO GT HN HU LB MA ML NE NI PL SN SV TG", 29: "BR EG PS QA UA", 30: "JO KW MU YE",
+    31: "MT SC", 32: "LC", 33: "RU",
+}
+
+
+def _iban() -> str:
+    """Every place where an IBAN may begin, with its text as the group; only the first letter is consumed.
+
+    A code prescribes the length, so that what follows is never swallowed, and a place that
+    fails its check hides none after it.  Other codes take as much as there is.
+    """
+    listed = "|".join("|".join(codes.split()) for codes in IBAN_LENGTHS.values())
+    ways = [
+        rf"(?:{'|'.join(codes.split())})[0-9]{{2}}(?:\x20?[0-9A-Z]){{{n - 4}}}" for n, codes in IBAN_LENGTHS.items()
+    ]
+    ways.append(rf"(?!{listed})[A-Z]{{2}}[0-9]{{2}}(?:\x20?[0-9A-Z]){{11,30}}+")
+    return rf"(?=[A-Z]{{2}}[0-9]{{2}})(?=({'|'.join(ways)}))[A-Z]"
+
+
 # Possessive repetition and a fixed left edge keep each pattern linear in long
 # runs of one character; \G is the end of the match before.
 PATTERNS = {
@@ -21,7 +45,7 @@ PATTERNS = {
     "ip": r"(?<![0-9])[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++",
     "card": r"[0-9](?:[\x20-]?[0-9]){13,}+",
     "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
-    "iban": r"[A-Z]{2}[0-9]{2}(?:\x20?[0-9A-Z]){11,30}+",
+    "iban": _iban(),
 }
 #: What a text must contain for a pattern to be tried at all.
 NEEDS = {"email": "@", "ip": ".", "phone": "+"}
@@ -88,9 +112,12 @@ def score(kind: str, text: Column, start: Column, end: Column) -> Column:
 
 
 def kind_spans(kind: str, text: Column) -> Column:
-    """Confirmed spans of one kind in order; a match that fails its check is dropped and not retried."""
+    """Confirmed spans of one kind in order, none inside another.
+
+    A match that fails its check is dropped and not retried; for IBANs every place is a match of its own.
+    """
     pattern = F.lit(PATTERNS[kind])
-    matches = F.regexp_extract_all(text, pattern, F.lit(0))
+    matches = F.regexp_extract_all(text, pattern, F.lit(1 if kind == "iban" else 0))
     gaps = F.transform(F.split(text, pattern, -1), lambda gap: F.length(gap).cast("bigint"))
     pairs = F.arrays_zip(matches.alias("match"), F.slice(gaps, 1, F.size(matches)).alias("gap"))
     nothing = F.lit(None).cast(f"array<{SPAN}>")
@@ -103,8 +130,12 @@ def kind_spans(kind: str, text: Column) -> Column:
             start.alias("start"), F.lit(KINDS.index(kind)).alias("rank"), end.alias("end"),
             F.lit(kind).alias("kind"), score(kind, text, start, end).alias("score"),
         ).cast(SPAN)
-        kept = F.when(confirmed(kind, pair["match"]), F.array_append(state["spans"], span))
-        return F.struct(end.cast("bigint").alias("at"), kept.otherwise(state["spans"]).alias("spans"))
+        valid = confirmed(kind, pair["match"])
+        if kind == "iban":
+            valid = (start >= F.coalesce(F.try_element_at(state["spans"], F.lit(-1))["end"], F.lit(0))) & valid
+        kept = F.when(valid, F.array_append(state["spans"], span))
+        at = start + 1 if kind == "iban" else end
+        return F.struct(at.cast("bigint").alias("at"), kept.otherwise(state["spans"]).alias("spans"))
 
     first = F.struct(F.lit(0).cast("bigint").alias("at"), empty.alias("spans"))
     found = F.aggregate(pairs, first, step)["spans"]

@@ -361,6 +361,20 @@ def test_pii_patterns(spark, odd):
     assert "Python" not in plan and "Arrow" not in plan and pii.find(odd).count() == len(ODD)
 
 
+def test_pii_iban_before_words(spark):
+    """What follows an IBAN, or looks like one before it, does not hide it."""
+    plain, spaced = "DE89370400440532013000", "GB82 WEST 1234 5698 7654 32"
+    texts = {
+        f"{plain} Please": [plain], f"IBAN {plain} BIC COBADEFF": [plain], f"{spaced} 2024": [spaced], f"{plain}EUR 5": [plain],
+        f"{plain} {spaced} NO9386011117947 OK": [plain, spaced, "NO9386011117947"], f"REF AB12 {plain} Z": [plain],
+        "DE89370400440532013001 Please": [], plain[:-1]: [], f"é {plain}\n7": [plain], "DE8 DE89": [],
+    }
+    got = pii.find(spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string")).collect()
+    for r in got:
+        text, want = list(texts.items())[r["doc_id"]]
+        assert [text[s["start"]:s["end"]] for s in r["spans"] if s["kind"] == "iban"] == want, text
+
+
 def test_pipeline(spark):
     import corpus_pipeline
 
