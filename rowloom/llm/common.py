@@ -35,6 +35,11 @@ def remainder(doc_id: Column, modulus: int) -> Column:
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % modulus
 
 
+def content(docs: DataFrame) -> Column:
+    """What tells texts apart where ids are null or repeated."""
+    return F.xxhash64(docs["text"])
+
+
 def pieces(batches: Iterator[pa.RecordBatch], rows: int) -> Iterator[pa.RecordBatch]:
     """The same rows in batches of at most ``rows``, so that a task holds few texts at once."""
     for batch in batches:

@@ -10,7 +10,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from rowloom.llm.common import pieces, words
+from rowloom.llm.common import content, pieces, words
 from rowloom.plans.scratch import materialize
 
 SHINGLE = 5
@@ -102,17 +102,20 @@ def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             buckets.append(bands(signature(own)) if len(own) else [])
             sketches.append(sketch(own) if len(own) else [])
         yield pa.RecordBatch.from_arrays([
-            batch.column(0), pa.array(high, pa.int64()), pa.array(low, pa.int64()),
+            batch.column(0), batch.column(2), pa.array(high, pa.int64()), pa.array(low, pa.int64()),
             pa.array(sizes, pa.int64()), pa.array(buckets, pa.list_(pa.int64())),
             pa.array(sketches, pa.list_(pa.int64())),
-        ], names=["doc_id", "node", "check", "n_shingles", "buckets", "sketch"])
+        ], names=["doc_id", "content", "node", "check", "n_shingles", "buckets", "sketch"])
 
 
 def signed(docs: DataFrame) -> DataFrame:
-    """``doc_id, node, check, n_shingles, buckets, sketch`` of each row; ``node, check`` name its shingle set."""
-    ids = docs.select("doc_id", "text")
+    """``doc_id, content, node, check, n_shingles, buckets, sketch`` of each row.
+
+    ``node, check`` name its shingle set, ``content`` its text.
+    """
+    ids = docs.select("doc_id", "text", content(docs).alias("content"))
     kind = ids.schema["doc_id"].dataType.simpleString()
-    ddl = f"doc_id {kind}, node long, check long, n_shingles long, buckets array<long>, sketch array<long>"
+    ddl = f"doc_id {kind}, content long, node long, check long, n_shingles long, buckets array<long>, sketch array<long>"
     return materialize(ids.mapInArrow(_sign, ddl), "near-signed")
 
 
@@ -300,27 +303,36 @@ def components(docs: DataFrame, classes: DataFrame) -> DataFrame:
     return known
 
 
-def near_duplicates(docs: DataFrame) -> DataFrame:
-    """``doc_id, n_shingles, component_id, kept`` for every row of ``docs``.
+def grouped(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The signed rows, and ``node, id, row, label`` of each shingle set: its least id, its first row, its component.
 
-    Rows with equal shingle sets are one node of the graph from the start,
-    so exact copies cost one row each and are never paired.  The component's id is
-    the least document id in it.  Null and empty texts have no shingles, are
-    linked with nothing and keep their own id.  Null ids are never least; a
-    component of null ids only has none, and is not kept.  Repeated rows are in
-    one component and each returned.  Nodes are named by 64 bits of a 128-bit digest.
+    ``row`` is ``no_id, doc_id, content``: rows with ids come first.
     """
     rows = signed(docs)
+    row = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "content")
     classes = materialize(
         rows.where("n_shingles > 0").groupBy("node", "check").agg(
-            F.min("doc_id").alias("id"), F.first("n_shingles").alias("n_shingles"),
+            F.min("doc_id").alias("id"), F.min(row).alias("row"), F.first("n_shingles").alias("n_shingles"),
             F.first("buckets").alias("buckets"), F.first("sketch").alias("sketch"),
         ), "near-classes"
     )
     known = components(docs, classes)
-    named = classes.select("node", "id").join(known, "node", "left").select(
-        "node", "id", F.coalesce("label", "node").alias("label")
+    return rows, classes.select("node", "id", "row").join(known, "node", "left").select(
+        "node", "id", "row", F.coalesce("label", "node").alias("label")
     )
+
+
+def near_duplicates(docs: DataFrame) -> DataFrame:
+    """``doc_id, n_shingles, component_id, kept`` for every row of ``docs``.
+
+    Rows with equal shingle sets are one node of the graph from the start,
+    so exact copies cost one row each and are never paired.  The component's id is
+    the least document id in it.  Null and empty texts have no shingles, are
+    linked with nothing and keep their own id.  Null ids are never least; a
+    component of null ids only has none, and is not kept.  Repeated rows are in
+    one component and each returned.  Nodes are named by 64 bits of a 128-bit digest.
+    """
+    rows, named = grouped(docs)
     least = named.groupBy("label").agg(F.min("id").alias("component_id"))
     found = named.join(least, "label").select("node", "component_id")
     with_words, without = rows.where("n_shingles > 0"), rows.where("n_shingles = 0")
@@ -334,11 +346,16 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 def distinct_documents(docs: DataFrame) -> DataFrame:
     """One row of each group of near-duplicates, with the columns of ``docs``; rows without words all stay.
 
-    Rows that share a kept id give one row, the first in order of a hash of its text.
+    A row is known by its id and its text, so null and repeated ids lose nothing: the
+    row of the least id stays, of several texts the first in order of a hash, and of equal rows one.
     """
-    judged = near_duplicates(docs)
-    kept = judged.where("kept").select("doc_id").distinct()
+    _, named = grouped(docs)
+    first = named.groupBy("label").agg(F.min("row").alias("row")).select(
+        F.col("row.doc_id").alias("_id"), F.col("row.content").alias("_first")
+    )
     empty = ~F.coalesce(F.col("text"), F.lit("")).rlike(r"[^\x20\x09-\x0D]")
-    own = Window.partitionBy("doc_id").orderBy(F.xxhash64("text"), "text")
-    worded = docs.where(~empty).join(kept, "doc_id", "left_semi").withColumn("_copy", F.row_number().over(own))
+    own = Window.partitionBy("doc_id", "_content").orderBy("text")
+    worded = docs.where(~empty).withColumn("_content", content(docs)).join(
+        first, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_content") == F.col("_first")), "left_semi"
+    ).withColumn("_copy", F.row_number().over(own))
     return docs.where(empty).unionByName(worded.where("_copy = 1").select(*docs.columns))

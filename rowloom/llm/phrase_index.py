@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rowloom.llm.common import pieces
+from rowloom.llm.common import content, pieces
 from rowloom.plans.scratch import materialize
 
 WINDOW = 13
@@ -39,11 +39,11 @@ def item_words(text: str | None) -> list[bytes]:
 
 
 SHARD = (
-    "doc_ids array<long>, lengths array<int>, terms binary, counts binary, postings binary"
+    "doc_ids array<long>, contents array<long>, lengths array<int>, terms binary, counts binary, postings binary"
 )
 
 
-def _shard(doc_ids: list, held: list[list[bytes]]) -> pa.RecordBatch:
+def _shard(doc_ids: list, contents: list, held: list[list[bytes]]) -> pa.RecordBatch:
     """Postings of the words of some documents: places counted through the shard, one place free after each document."""
     ids: dict[bytes, int] = {b"": 0}
     flat: list[int] = []
@@ -54,7 +54,7 @@ def _shard(doc_ids: list, held: list[list[bytes]]) -> pa.RecordBatch:
     order = np.argsort(places, kind="stable").astype("<i4")
     counts = np.bincount(places, minlength=len(ids)).astype("<i4")
     return pa.RecordBatch.from_arrays([
-        pa.array([doc_ids], pa.list_(pa.int64())),
+        pa.array([doc_ids], pa.list_(pa.int64())), pa.array([contents], pa.list_(pa.int64())),
         pa.array([[len(w) for w in held]], pa.list_(pa.int32())),
         pa.array([b" ".join(ids)], pa.binary()), pa.array([counts.tobytes()], pa.binary()),
         pa.array([np.diff(order, prepend=np.int32(0)).astype("<i4").tobytes()], pa.binary()),
@@ -62,23 +62,24 @@ def _shard(doc_ids: list, held: list[list[bytes]]) -> pa.RecordBatch:
 
 
 def _index(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    doc_ids, held, n = [], [], 0
+    doc_ids, contents, held, n = [], [], [], 0
     for batch in pieces(batches, 256):
-        for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+        for doc_id, text, of_text in zip(*(c.to_pylist() for c in batch.columns)):
             words = item_words(text)
             doc_ids.append(doc_id)
+            contents.append(of_text)
             held.append(words)
             n += len(words) + 1
             if n >= SHARD_WORDS:
-                yield _shard(doc_ids, held)
-                doc_ids, held, n = [], [], 0
+                yield _shard(doc_ids, contents, held)
+                doc_ids, contents, held, n = [], [], [], 0
     if doc_ids:
-        yield _shard(doc_ids, held)
+        yield _shard(doc_ids, contents, held)
 
 
 def build(docs: DataFrame) -> DataFrame:
     """The positional index of all words of ``docs``, one row per shard, written to the shared folder."""
-    return materialize(docs.select("doc_id", "text").mapInArrow(_index, SHARD), "phrase-index")
+    return materialize(docs.select("doc_id", "text", content(docs).alias("content")).mapInArrow(_index, SHARD), "phrase-index")
 
 
 class Phrases:
@@ -159,7 +160,7 @@ def _search_shard(row: dict, phrases: Phrases, slop: int) -> Iterator[tuple]:
 
 
 HITS = (
-    "shard string, doc int, doc_id long, n_words long, "
+    "shard string, doc int, doc_id long, content long, n_words long, "
     "marks array<struct<start: int, end: int>>, items array<string>, near array<string>"
 )
 
@@ -175,10 +176,10 @@ def _search(block, slop: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[p
                 yield pa.RecordBatch.from_arrays([
                     pa.array([row["shard"]] * len(found), pa.string()),
                     pa.array(range(len(found)), pa.int32()),
-                    pa.array(doc_id, pa.int64()), pa.array(n_words, pa.int64()),
+                    pa.array(doc_id, pa.int64()), pa.array(row["contents"], pa.int64()), pa.array(n_words, pa.int64()),
                     pa.array([[{"start": a, "end": z} for a, z in m] for m in marks], pa.list_(span)),
                     pa.array(items, pa.list_(pa.string())), pa.array(near, pa.list_(pa.string())),
-                ], names=["shard", "doc", "doc_id", "n_words", "marks", "items", "near"])
+                ], names=["shard", "doc", "doc_id", "content", "n_words", "marks", "items", "near"])
 
     return run
 
@@ -199,7 +200,7 @@ def _query_blocks(benchmark: DataFrame) -> Iterator[list[tuple[str, list[bytes]]
 
 
 def search(index: DataFrame, benchmark: DataFrame, slop: int = SLOP) -> DataFrame:
-    """``doc_id, n_words, marks, items, near`` for every document of the index.
+    """``doc_id, content, n_words, marks, items, near`` for every document of the index.
 
     ``marks`` are the word ranges of exact window occurrences, ``items`` the ids
     of their test items, ``near`` those that only have a proximity match: every
@@ -224,7 +225,7 @@ def search(index: DataFrame, benchmark: DataFrame, slop: int = SLOP) -> DataFram
         every = every.unionAll(part)
     union = lambda c: F.array_sort(F.array_distinct(F.flatten(F.collect_list(c))))
     return every.groupBy("shard", "doc").agg(
-        F.first("doc_id").alias("doc_id"), F.first("n_words").alias("n_words"),
+        F.first("doc_id").alias("doc_id"), F.first("content").alias("content"), F.first("n_words").alias("n_words"),
         union("marks").alias("marks"), union("items").alias("items"), union("near").alias("near"),
     ).withColumn("near", F.array_except("near", "items")).drop("shard", "doc")
 
@@ -239,18 +240,23 @@ def covered(marks: Column) -> Column:
     return F.aggregate(marks, first, step)["n"].cast("long")
 
 
+def _judged(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
+    found = search(build(docs), benchmark).withColumn("n_hit", covered(F.col("marks")))
+    return found.withColumn("contaminated", (F.col("n_hit") > 0) & (F.col("n_hit") * HIT_SHARE >= F.col("n_words")))
+
+
 def contamination(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """Counts, items and verdict for every row of ``docs``; a null or empty text has no words and is clean."""
-    found = search(build(docs), benchmark).withColumn("n_hit", covered(F.col("marks")))
-    return found.select(
+    return _judged(docs, benchmark).select(
         "doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
-        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
-        ((F.col("n_hit") > 0) & (F.col("n_hit") * HIT_SHARE >= F.col("n_words"))).alias("contaminated"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), "contaminated",
         F.size("near").cast("long").alias("n_near"),
     )
 
 
 def clean_documents(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """The rows of ``docs`` that are not contaminated; rows that share an id go if one of them is."""
-    bad = contamination(docs, benchmark).where("contaminated").select(F.col("doc_id").alias("_id")).distinct()
-    return docs.join(bad, F.col("doc_id").eqNullSafe(F.col("_id")), "left_anti")
+    """The rows of ``docs`` that are not contaminated, each judged by its own text, whatever ids they share."""
+    bad = _judged(docs, benchmark).where("contaminated").select(
+        F.col("doc_id").alias("_id"), F.col("content").alias("_bad")
+    ).distinct()
+    return docs.join(bad, F.col("doc_id").eqNullSafe(F.col("_id")) & (content(docs) == F.col("_bad")), "left_anti")

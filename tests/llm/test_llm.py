@@ -160,6 +160,19 @@ def test_near_duplicates_odd_rows(odd):
     assert near_duplicates.distinct_documents(odd).where("doc_id = 1").count() == 1
 
 
+def test_rows_by_text(spark):
+    """Null and repeated ids lose no group of near-duplicates and no clean document."""
+    t = {k: " ".join(f"{k}{i}" for i in range(40)) for k in "abcdef"}
+    rows = [(None, t["a"]), (None, t["a"]), (None, t["b"]), (7, t["c"]), (7, t["c"]), (7, t["d"]), (5, t["d"]), (7, t["e"]), (None, t["c"]), (8, t["f"])]
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    got = near_duplicates.distinct_documents(frame).collect()
+    want = [(None, t["a"]), (None, t["b"]), (7, t["c"]), (5, t["d"]), (7, t["e"]), (8, t["f"])]
+    assert Counter(map(tuple, got)) == Counter(want)
+    bench = spark.createDataFrame([(1, t["a"]), (2, t["d"])], "item_id long, text string")
+    left = phrase_index.clean_documents(frame, bench).collect()
+    assert Counter(map(tuple, left)) == Counter(r for r in rows if r[1] not in (t["a"], t["d"]))
+
+
 def test_recurrent_gradient():
     net = recurrent_lm.Network(np.array([5.0, 4, 3, 2, 1]), 2.0)
     net.p = {k: v.astype(np.float64) for k, v in net.p.items()}
