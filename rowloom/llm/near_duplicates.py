@@ -258,7 +258,8 @@ def components(docs: DataFrame, classes: DataFrame) -> DataFrame:
     paired with all members of other components; more of them in the second round,
     and in the last one all.  A bucket of one component gives no pairs.  In the end
     every pair of a bucket is joined, was tested or is ruled out by its
-    sketch: no link within a bucket is lost.
+    sketch.  That loses a link at the threshold whose sketches are off by more than
+    SIGMAS standard deviations, about 3 in a million by the normal approximation.
     """
     members = buckets(classes)
     sets = sets_of(docs, classes, members)
