@@ -6,7 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from rowloom.llm import gif_media, mixing, near_duplicates, phrase_index, pii, quality, recurrent_lm, token_files, toxicity, url_rules
+from rowloom.llm import (
+    chat_tree, gif_media, mixing, near_duplicates, phrase_index, pii, quality, recurrent_lm, resampling, spelling_groups,
+    token_files, toxicity, url_rules,
+)
 from rowloom.llm.common import table
 from rowloom.plans.scratch import scratch_path
 
@@ -77,6 +80,21 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.digest(pii.find(table(spark, sf_dir, "documents")))
 
 
+def op11_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's weight, score and place in the draw."""
+    return resampling.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op12_spelling_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every word's form and root."""
+    return spelling_groups.spelling_groups(table(spark, sf_dir, "documents"))
+
+
+def op13_chat_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every conversation, read back from prefix-tree packs."""
+    return chat_tree.formatted(spark, table(spark, sf_dir, "conversations"), tokenizer_path())
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_url_rules": op1_url_rules,
     "op2_mixing": op2_mixing,
@@ -88,9 +106,15 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_gif": op8_gif,
     "op9_quality": op9_quality,
     "op10_pii": op10_pii,
+    "op11_resampling": op11_resampling,
+    "op12_spelling_groups": op12_spelling_groups,
+    "op13_chat_tree": op13_chat_tree,
 }
 
 ORACLES: dict[str, str] = {
     "op2_mixing": mixing.MIX_SQL,
     "op10_pii": pii.PII_SQL,
+    "op11_resampling": resampling.RESAMPLING_SQL,
+    "op12_spelling_groups": spelling_groups.SPELLING_SQL,
+    "op13_chat_tree": chat_tree.CHAT_SQL,
 }
