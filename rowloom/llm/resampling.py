@@ -23,7 +23,6 @@ from rowloom.llm.common import pieces
 from rowloom.llm.spelling_groups import CRC_TABLE_SQL, crc_sql
 from rowloom.plans.scratch import materialize
 
-WORD_PATTERN = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 GAP_PATTERN = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 BUCKETS = 10_000
 LONGEST_RUN = 1
@@ -31,46 +30,75 @@ MIN_WORDS = 20
 DRAWN_PERCENT = 10
 SEED = 2024
 #: A long text is handed to the pre-tokenizer in pieces of about so many characters, cut between words.
-PIECE_CHARS = 16_384
+PIECE_CHARS = 2_048
 
 _GAP = re.compile(GAP_PATTERN)
 
 
 @lru_cache(1)
 def splitter():
-    """The pre-tokenizer of this Python worker: matches of the word pattern, all else removed."""
+    """The pre-tokenizer of this Python worker: what lies between words is removed."""
     from tokenizers import Regex, pre_tokenizers
 
-    return pre_tokenizers.Split(Regex(WORD_PATTERN), behavior="removed", invert=True)
+    return pre_tokenizers.Split(Regex(GAP_PATTERN), behavior="removed")
 
 
-def word_offsets(text: str) -> tuple[list[str], list[tuple[int, int]]]:
-    """Words of a lower-cased text and their places in it."""
-    words: list[str] = []
-    places: list[tuple[int, int]] = []
+def pieces_of(text: str) -> Iterator[tuple[int, str]]:
+    """A text in pieces that end between words, with their starts."""
     start = 0
     while start < len(text):
         end = len(text)
         if end - start > PIECE_CHARS:
             gap = _GAP.search(text, start + PIECE_CHARS)
             end = gap.end() if gap else end
-        for word, (a, b) in splitter().pre_tokenize_str(text[start:end]):
-            words.append(word)
-            places.append((start + a, start + b))
+        yield start, text[start:end]
         start = end
+
+
+def word_offsets(text: str) -> tuple[list[str], list[tuple[int, int]]]:
+    """Words of a lower-cased text and their places in it."""
+    words: list[str] = []
+    places: list[tuple[int, int]] = []
+    split = splitter().pre_tokenize_str
+    for start, piece in pieces_of(text):
+        found = split(piece)
+        words += [word for word, _ in found]
+        places += [(start + a, start + b) for _, (a, b) in found] if start else [place for _, place in found]
     return words, places
 
 
-@lru_cache(1 << 18)
-def bucket(feature: str, buckets: int) -> int:
-    return zlib.crc32(feature.encode("utf-8", "surrogatepass")) % buckets
+class Buckets(dict):
+    """Buckets of features seen before, emptied when it holds too many."""
+
+    LIMIT = 400_000
+
+    def __init__(self, buckets: int):
+        super().__init__()
+        self.buckets = buckets
+
+    def __missing__(self, feature: str) -> int:
+        if len(self) >= self.LIMIT:
+            self.clear()
+        found = self[feature] = zlib.crc32(feature.encode("utf-8", "surrogatepass")) % self.buckets
+        return found
+
+
+@lru_cache(4)
+def bucket_of(buckets: int) -> Buckets:
+    return Buckets(buckets)
 
 
 def feature_buckets(text: str | None, longest: int = LONGEST_RUN, buckets: int = BUCKETS) -> tuple[int, np.ndarray]:
     """Number of words, and the bucket of each run of 1 to ``longest`` words joined by one space."""
     lowered = (text or "").encode("utf-8", "surrogatepass").lower().decode("utf-8", "surrogatepass")
+    bucket, split = bucket_of(buckets), splitter().pre_tokenize_str
+    if longest == 1:
+        # Each window is one word, so a piece is counted while it is at hand.
+        found = [np.array([bucket[word] for word, _ in split(piece)], "<u4") for _, piece in pieces_of(lowered)]
+        joined = np.concatenate(found) if found else np.zeros(0, "<u4")
+        return len(joined), joined
     words, places = word_offsets(lowered)
-    found = [bucket(word, buckets) for word in words]
+    found = [bucket[word] for word in words]
     for run in range(2, longest + 1):
         for i in range(len(words) - run + 1):
             start, end = places[i][0], places[i + run - 1][1]
@@ -78,7 +106,7 @@ def feature_buckets(text: str | None, longest: int = LONGEST_RUN, buckets: int =
             # The window is the feature itself where single spaces lie between its words.
             if _GAP.findall(feature) != [" "] * (run - 1):
                 feature = " ".join(words[i:i + run])
-            found.append(bucket(feature, buckets))
+            found.append(bucket[feature])
     return len(words), np.array(found, "<u4")
 
 
