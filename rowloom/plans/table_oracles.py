@@ -277,6 +277,16 @@ ORACLES: dict[str, str] = {
     ),
     "events_incremental": EVENTS,
     "events_stream": _without_source(EVENTS),
+    "truncated_records": """
+        WITH files AS (SELECT CAST(floor(c_custkey / 25) AS BIGINT) AS file, * FROM customer)
+        SELECT file, CAST(c_custkey AS VARCHAR) AS record_id, p AS resolved_position,
+               CASE p WHEN '1' THEN CAST(c_custkey AS VARCHAR) ELSE c_name END AS value
+        FROM files, (VALUES ('1'), ('2')) AS positions(p) WHERE file % 3 = 0
+        UNION ALL
+        SELECT DISTINCT file, CAST(NULL AS VARCHAR), 'refused', CASE file % 3 WHEN 1 THEN 'the last record has no end'
+               ELSE 'a comment, CDATA section or instruction has no end' END
+        FROM files WHERE file % 3 <> 0
+    """,
     "catalog_precedence": FIELDS,
     "relationship_precedence": LINKS,
     "target_precedence": f"""
@@ -340,6 +350,20 @@ ORACLES: dict[str, str] = {
         FROM customer
     """,
     "package_run": _without_source(MULTI_APP),
+    "package_encodings": """
+        SELECT 'CUSTOMER' AS app_name, CAST(c_custkey AS VARCHAR) AS record_id, p AS resolved_position,
+               CASE p WHEN '1' THEN 'CUSTOMER.KEY' ELSE 'CUSTOMER.NAME' END AS field_name,
+               CASE p WHEN '1' THEN CAST(c_custkey AS VARCHAR) ELSE c_name || ' \u00e9\u00ff' END AS value, TRUE AS is_mapped
+        FROM customer, (VALUES ('1'), ('2')) AS positions(p)
+        UNION ALL
+        SELECT 'SUPPLIER', CAST(s_suppkey AS VARCHAR), p, CASE p WHEN '1' THEN 'SUPPLIER.KEY' ELSE 'NATION' END,
+               CASE p WHEN '1' THEN CAST(s_suppkey AS VARCHAR) ELSE s_name || ' \u20ac\u00e9' END, TRUE
+        FROM supplier, (VALUES ('1'), ('3')) AS positions(p)
+        UNION ALL
+        SELECT 'PART', CAST(p_partkey AS VARCHAR), p, CASE p WHEN '1' THEN 'PART.KEY' ELSE 'PART.NAME' END,
+               CASE p WHEN '1' THEN CAST(p_partkey AS VARCHAR) ELSE '</row>' || p_name || ' \u0416</row>' END, TRUE
+        FROM part, (VALUES ('1'), ('2')) AS positions(p)
+    """,
     "run_metrics": """
         SELECT 'CUSTOMER' AS app_name, count(*) AS records, 5 * count(*) AS cells FROM customer
         UNION ALL SELECT 'SUPPLIER', count(*), 4 * count(*) FROM supplier

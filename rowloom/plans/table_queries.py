@@ -324,12 +324,39 @@ def events_stream(spark: SparkSession, sf: str) -> DataFrame:
     """The same records landed as files and read by a stream until it has caught up."""
     landing = scratch_path(spark, "landing")
     write_records(event_records(spark, sf), "rec", landing)
-    streamed = ingest.stream_records(spark, landing, "EVENTS")
-    schemas = literal_catalog(spark, {"EVENTS": EVENT_SCHEMA})
-    rows = ingest.stream_normalized(streamed, schemas, PackageConfig(landing), broadcast=True)
-    out, state = scratch_path(spark, "stream"), scratch_path(spark, "state")
-    ingest.write_stream(rows, out, state).awaitTermination()
-    return spark.read.schema(rows.schema).parquet(out).drop("source_file")
+    rows, _ = _ingested(spark, landing, "EVENTS", EVENT_SCHEMA)
+    return rows.drop("source_file", ingest.BATCH)
+
+
+def _ingested(spark: SparkSession, landing: str, app: str, document: str) -> tuple[DataFrame, DataFrame]:
+    """Rows and dead letters of a landing directory; only completeness is checked."""
+    out, letters, state = (scratch_path(spark, name) for name in ("stream", "dead-letters", "state"))
+    ingest.ingest(
+        ingest.landed_chunks(spark, landing), app, literal_catalog(spark, {app: document}),
+        PackageConfig(landing, check_contents=False), path=out, dead_letters=letters, checkpoint=state, broadcast=True,
+    ).awaitTermination()
+    return spark.read.parquet(out), spark.read.parquet(letters)
+
+
+def truncated_records(spark: SparkSession, sf: str) -> DataFrame:
+    """Files of 25 customers each: of three, one breaks off inside a record and one inside a comment."""
+    number = F.floor(col("c_custkey") / FIELDS_PER_DOCUMENT).cast("bigint")
+    rec = record(cell("1", text(col("c_custkey"))), cell("2", col("c_name")))
+    ordered = F.transform(F.array_sort(F.collect_list(F.struct(col("c_custkey"), rec.alias("rec")))), lambda x: x["rec"])
+    whole = F.array_join(ordered, "")
+    cut = (
+        F.when(col("number") % 3 == 1, F.substr(col("content"), lit(1), F.length("content") - 12))
+        .when(col("number") % 3 == 2, F.concat("content", lit("<!-- <row></row> ")))
+        .otherwise(F.concat("content", lit("<!-- end of file -->")))
+    )
+    landing = scratch_path(spark, "landing")
+    files = table(spark, sf, "customer").groupBy(number.alias("number")).agg(whole.alias("content"))
+    files.select(cut.alias("value"), col("number").alias("file")).write.partitionBy("file").text(landing)
+    rows, letters = _ingested(spark, landing, "CUSTOMER", CUSTOMER_SCHEMA)
+    file = F.regexp_extract("source_file", "/file=([0-9]+)/", 1).cast("bigint").alias("file")
+    return rows.select(file, "record_id", "resolved_position", "value").unionByName(
+        letters.select(file, lit(None).cast("string").alias("record_id"), lit("refused").alias("resolved_position"), col("reason").alias("value"))
+    )
 
 
 # --- metadata rendered from tables -------------------------------------------- #
@@ -593,6 +620,52 @@ def package_run(spark: SparkSession, sf: str) -> DataFrame:
     return run.run().drop("source_file")
 
 
+#: Bytes of a split where a query shows that splits do not matter: most files here are smaller than a default one.
+SMALL_SPLIT = 4096
+
+
+def small_splits(spark: SparkSession) -> SparkSession:
+    """A session of its own that cuts files into many splits."""
+    session = spark.newSession()
+    session.conf.set("spark.sql.files.maxPartitionBytes", SMALL_SPLIT)
+    return session
+
+
+def _declared(rec: Column, encoding: str) -> Column:
+    """Records as bytes in an encoding; the first of each part file has the declaration before it."""
+    place = F.monotonically_increasing_id().bitwiseAND((1 << 33) - 1)
+    head = F.when(place == 0, lit(f'<?xml version="1.0" encoding="{encoding}"?>')).otherwise(lit(""))
+    # The euro sign is byte 0x80 in windows-1252, where Latin-1 has a control character.
+    moved = F.translate(F.concat(head, rec), "\u20ac", "\x80")
+    return (F.concat(head, rec) if encoding == "UTF-8" else F.encode(moved, "ISO-8859-1")).cast("string")
+
+
+def package_encodings(spark: SparkSession, sf: str) -> DataFrame:
+    """Three encodings, letters beyond ASCII and end tags inside markup, in part files of many splits."""
+    root = scratch_path(spark, "encodings")
+    comment = lit("<!-- <row></row> --><?skip </row>?>")
+    customer = as_app(
+        table(spark, sf, "customer"), "CUSTOMER", cell("1", text(col("c_custkey"))), comment,
+        cell("2", F.concat("c_name", lit(" \u00e9\u00ff"))),
+    )
+    supplier = as_app(
+        table(spark, sf, "supplier"), "SUPPLIER", cell("1", text(col("s_suppkey"))), comment,
+        cell("3", F.concat("s_name", lit(" \u20ac\u00e9"))),
+    )
+    part = as_app(
+        table(spark, sf, "part"), "PART", cell("1", text(col("p_partkey"))),
+        lit("<c2><![CDATA[</row>"), col("p_name"), lit(" \u0416</row>]]></c2>"),
+    )
+    for app, rendered, encoding, document in (
+        ("CUSTOMER", customer, "ISO-8859-1", CUSTOMER_SCHEMA), ("SUPPLIER", supplier, "windows-1252", SUPPLIER_SCHEMA),
+        ("PART", part, "UTF-8", PART_SCHEMA),
+    ):
+        write_records(rendered.select(_declared(col("rec"), encoding).alias("rec")), "rec", f"{root}/data/{app}.xml")
+        write_document(spark, document, f"{root}/metadata/STANDARD_SELECTION_{app}.xml")
+    run = Normalization(small_splits(spark), PackageConfig(root))
+    return run.run().select("app_name", "record_id", "resolved_position", "field_name", "value", "is_mapped")
+
+
 def run_metrics(spark: SparkSession, sf: str) -> DataFrame:
     run = Normalization(spark, PackageConfig(write_package(spark, sf)))
     rows = run.run()
@@ -705,10 +778,10 @@ QUERIES: dict[str, Query] = {
         normalize_customer, normalize_orders_multivalue, normalize_lineitem_subvalue,
         normalize_part_localref, unmapped_warnings, localref_without_metadata, strict_mode,
         known_fields_only, custom_record_id, text_escaping, markup_in_records,
-        events_incremental, events_stream, catalog_precedence, relationship_precedence,
+        events_incremental, events_stream, truncated_records, catalog_precedence, relationship_precedence,
         target_precedence, list_localref_fields, field_lookup, catalog_summary,
         metadata_synonyms, positional_zip_ragged, app_discovery, skipped_apps,
-        metadata_resolution, missing_metadata, well_formedness, package_run, run_metrics,
+        metadata_resolution, missing_metadata, well_formedness, package_run, package_encodings, run_metrics,
         record_counts, local_ref_coverage, undeclared_localrefs, filter_record, mapped_only,
         localref_only, profile, pivot_wide, preview, bounded_table, flat_roundtrip,
         csv_roundtrip, jsonl_roundtrip,

@@ -67,25 +67,30 @@ def chunks(
     )
 
 
-def whole_files(spark: SparkSession, paths: Iterable[str]) -> DataFrame:
-    """Each file as one chunk, for small files that cannot be cut at an end tag."""
-    return (
-        spark.read.option("wholetext", "true")
-        .text(list(paths))
-        .select(
-            local_path(F.col("_metadata.file_path")).alias("source_file"),
-            F.lit(0).cast("bigint").alias("split_start"),
-            F.monotonically_increasing_id().alias("chunk_no"),
-            F.col("_metadata.file_size").alias("file_size"),
-            F.col("value").alias("chunk"),
-        )
-    )
+def is_plain(encoding: str) -> bool:
+    """Whether text in this encoding needs no decoding."""
+    return encoding.upper() in ("UTF-8", "UTF8", "US-ASCII", "ASCII")
 
 
 def decoded(chunk: Column, encoding: str) -> Column:
-    if encoding.upper() in ("UTF-8", "UTF8", "US-ASCII", "ASCII"):
-        return chunk
-    return F.decode(chunk.cast("binary"), encoding)
+    """Text of a chunk in UTF-8 or in any single-byte encoding that extends ASCII.
+
+    Bytes become characters one by one; those that the encoding places elsewhere are
+    translated by a table of at most 128 entries made from its codec.
+    """
+    if is_plain(encoding):
+        return chunk.cast("string")
+    try:
+        low = bytes(range(128)).decode(encoding)
+        high = [bytes([code]).decode(encoding, "replace") for code in range(128, 256)]
+    except (LookupError, UnicodeError) as error:
+        raise ValueError(f"Records cannot be read in encoding {encoding!r}") from error
+    pairs = [bytes([code, 0x41]).decode(encoding, "replace") for code in range(128, 256)]
+    if low != bytes(range(128)).decode("ascii") or any(len(pair) != 2 for pair in pairs):
+        raise ValueError(f"Records cannot be read in encoding {encoding!r}: not one byte a letter above ASCII")
+    text = F.decode(chunk.cast("binary"), "ISO-8859-1")
+    moved = [(chr(code), letter) for code, letter in enumerate(high, 128) if chr(code) != letter]
+    return F.translate(text, "".join(a for a, _ in moved), "".join(b for _, b in moved)) if moved else text
 
 
 def whole_chunk(chunk: Column, end_tag: str = DEFAULT_END, encoding: str = "UTF-8") -> Column:
