@@ -120,12 +120,12 @@ def encode(payload: bytes) -> bytes:
 
 @dataclass
 class Frame:
-    """One image as shown: the area it covers on the canvas, in RGB, and for how long."""
+    """One image as shown: the area it covers on the canvas, in RGB, and for how long; the canvas if it was asked for."""
 
     left: int
     top: int
     area: np.ndarray
-    canvas: np.ndarray
+    canvas: np.ndarray | None
     delay_cs: int
 
 
@@ -134,8 +134,8 @@ def _rows_in_order(rows: int) -> np.ndarray:
     return np.concatenate([np.arange(s, rows, d) for s, d in ((0, 8), (4, 8), (2, 4), (1, 2))])
 
 
-def decode(gif: bytes) -> list[Frame]:
-    """All frames with palettes, transparency and disposal applied."""
+def decode(gif: bytes, canvases: bool = True) -> list[Frame]:
+    """All frames with palettes, transparency and disposal applied; the whole canvas after each only with ``canvases``."""
     number = lambda at: int.from_bytes(gif[at:at + 2], "little")
     palette = lambda at, flags: np.frombuffer(gif, np.uint8, 3 << (flags & 7) + 1, at).reshape(-1, 3)
     if gif[:6] not in (b"GIF87a", b"GIF89a"):
@@ -175,12 +175,12 @@ def decode(gif: bytes) -> list[Frame]:
         image = np.frombuffer(samples.ljust(wide * high, b"\0"), np.uint8).reshape(high, wide)
         if flags & 0x40:
             image = image[np.argsort(_rows_in_order(high))]
-        before = canvas.copy()
+        before = canvas.copy() if disposal == 3 else None
         area = canvas[top:top + high, left:left + wide]
         image = image[:area.shape[0], :area.shape[1]]
         shown = colours[image]
         area[:] = shown if hidden is None else np.where((image == hidden)[..., None], area, shown)
-        frames.append(Frame(left, top, area.copy(), canvas.copy(), delay))
+        frames.append(Frame(left, top, area.copy(), canvas.copy() if canvases else None, delay))
         if disposal == 2:
             area[:] = 0
         elif disposal == 3:
@@ -190,9 +190,9 @@ def decode(gif: bytes) -> list[Frame]:
 
 
 def histogram(area: np.ndarray) -> list[int]:
-    """Pixels of a frame by brightness, in ``BINS`` equal bins."""
-    light = area.astype(np.int64).sum(axis=2) // 3
-    return np.bincount((light * BINS >> 8).ravel(), minlength=BINS).tolist()
+    """Pixels of a frame by red, then green, then blue, each in ``BINS`` equal bins."""
+    counts = [np.bincount(area[..., channel].ravel(), minlength=256) for channel in range(3)]
+    return np.concatenate(counts).reshape(3 * BINS, -1).sum(axis=1).tolist()
 
 
 def payload(text: str | None) -> tuple[bytes, int]:
@@ -222,13 +222,14 @@ def _features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in pieces(batches, 128):
         rows = []
         for media in batch.column("media").to_pylist():
-            frames = decode(media)
+            frames = decode(media, canvases=False)
             data = b"".join(f.area[..., 0].tobytes() for f in frames)
-            counts = np.sum([histogram(f.area) for f in frames], axis=0)
+            by_frame = [histogram(f.area) for f in frames]
+            counts = map(sum, zip(*by_frame))
             rows.append((
                 len(data), hashlib.sha256(data).hexdigest(), zlib.crc32(data[-64:]), len(media),
                 hashlib.sha256(media).hexdigest(), [f.delay_cs * 10 for f in frames],
-                [histogram(f.area) for f in frames],
+                by_frame,
                 f"frames={len(frames)};ms={sum(f.delay_cs for f in frames) * 10};hist={','.join(map(str, counts))}",
             ))
         size, sha, tail, stored, media_sha, delays, hists, feature = zip(*rows) if rows else ([],) * 8

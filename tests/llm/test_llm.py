@@ -317,6 +317,16 @@ def test_gif(odd):
         assert (r["n_bytes"], r["payload_sha256"], r["tail_crc32"]) == (n, hashlib.sha256(data).hexdigest(), zlib.crc32(data[-64:]))
 
 
+def test_gif_colours():
+    """Colours of equal brightness lie in different bins."""
+    red, blue = np.zeros((4, 2, 3), np.uint8), np.zeros((4, 2, 3), np.uint8)
+    red[..., 0] = blue[..., 2] = 200
+    bins = gif_media.BINS
+    assert gif_media.histogram(red) != gif_media.histogram(blue)
+    assert gif_media.histogram(red)[200 * bins >> 8] == 8 and gif_media.histogram(blue)[2 * bins + (200 * bins >> 8)] == 8
+    assert sum(gif_media.histogram(red)) == 24
+
+
 def test_gif_rules():
     """Transparency, disposal, a local palette and interlacing of a hand-made file of two frames."""
     def image(samples, control, flags=0, palette=b""):
