@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from array import array
 from collections.abc import Callable, Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -16,8 +17,8 @@ from rowloom.llm.common import pieces
 END_ID = 0
 #: A block is closed at so many ids; a longer document is a block of its own.
 BLOCK_IDS = 32_768
-#: Chunks of text whose ids a task remembers; the memory is emptied when full.
-CACHE_CHUNKS = 300_000
+#: Chunks of text whose ids a Python worker remembers, in each of two generations.
+CACHE_CHUNKS = 500_000
 
 # Ids per word and bits per id of each selector.  Selector 0 marks
 # an id of more than 60 bits; its word holds the id's place among the escapes.
@@ -37,12 +38,17 @@ def pack(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     n = len(values)
     large = values > PAYLOAD
     escapes = values[large]
+    # Ids of 32 bits, the usual case, are compared as such.
+    compared = values.astype(np.uint32) if n and values.max() < 1 << 32 else values
     jump = np.ones(n, np.int64)
     chosen = np.zeros(n, np.int64)
     misfits = np.zeros(n + max(COUNTS) + 1, np.int32)
     for selector in range(len(COUNTS) - 1, 0, -1):
         count, width = COUNTS[selector], WIDTHS[selector]
-        wide = values >= np.uint64(1 << width)
+        if compared.dtype == np.uint32 and width >= 32:
+            wide = np.zeros(n, bool)
+        else:
+            wide = compared >= compared.dtype.type(1 << width)
         if n - np.count_nonzero(wide) < min(count, n):
             continue
         np.cumsum(wide, out=misfits[1:n + 1])
@@ -109,6 +115,7 @@ class Encoder:
         spare = iter(range(256, 512))
         self.letters = {b: chr(b) if b in plain else chr(next(spare)) for b in range(256)}
         self.cache: dict[str, bytes | None] = {}
+        self.older: dict[str, bytes | None] = {}
         self.marks = {mark: self.word(mark) for mark in ".,;:"}
 
     def word(self, word: str) -> bytes:
@@ -125,10 +132,13 @@ class Encoder:
 
         Chunks of letters, alone or with a mark after them, need no pattern.
         """
-        cache, marks = self.cache, self.marks
+        cache, older, marks = self.cache, self.older, self.marks
         for chunk in chunks:
             if chunk in cache:
                 continue
+            if chunk in older:
+                cache[chunk] = older[chunk]
+                continue
             if chunk.isalpha():
                 cache[chunk] = self.word(" " + chunk)
             elif not chunk or chunk[0].isspace():
@@ -146,7 +156,8 @@ class Encoder:
 
     def __call__(self, texts: list[str]) -> list[bytes]:
         if len(self.cache) > CACHE_CHUNKS:
-            self.cache.clear()
+            # What was used since the last change stays, what was not goes.
+            self.cache, self.older = {}, self.cache
         split = [text.split(" ") for text in texts]
         self.remember(set().union(*(own[1:] for own in split)).difference(self.cache))
         out = []
@@ -162,6 +173,12 @@ class Encoder:
         return out
 
 
+@lru_cache(1)
+def encoder(path: str) -> Encoder:
+    """The encoder of this Python worker; what it remembers serves its later tasks too."""
+    return Encoder(path)
+
+
 BLOCK = (
     "part int, first long, n_ids int, doc_ids array<long>, counts array<int>, words binary, escapes binary"
 )
@@ -169,7 +186,7 @@ BLOCK = (
 
 def _blocks(path: str, end_id: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode, part = Encoder(path), TaskContext.get().partitionId()
+        encode, part = encoder(path), TaskContext.get().partitionId()
         end = np.array([end_id], "<u4").tobytes()
         first, n, doc_ids, counts, held = 0, 0, [], [], []
 
