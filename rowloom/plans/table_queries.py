@@ -582,22 +582,22 @@ def missing_metadata(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def well_formedness(spark: SparkSession, sf: str) -> DataFrame:
-    """Each customer as a small file; some with a bare ampersand or a missing end."""
+    """Each customer as a small file of two splits; some with a bare ampersand or a missing end."""
     key = col("c_custkey")
     body = F.concat(
-        lit("<DATA><row><c1>"), text(key), lit("</c1><c2>"), col("c_name"),
+        lit("<DATA><!-- one customer --><row><c1>"), text(key), lit("</c1><c2>"), col("c_name"),
         F.when(key % 10 == 0, lit(" & ")).otherwise(lit(" &amp; ")),
         lit("</c2></row><row/>"), F.when(key % 10 == 3, lit("")).otherwise(lit("</DATA>")),
     )
     files = table(spark, sf, "customer").select(
         F.concat(lit("C"), text(key), lit(".xml")).alias("source_file"),
-        lit(0).cast("bigint").alias("split_start"),
-        F.octet_length(body).cast("bigint").alias("file_size"),
-        lit(False).alias("fragments"), F.split(body, "</row>").alias("chunks"),
+        F.octet_length(body).cast("bigint").alias("file_size"), F.split(body, "</row>").alias("chunks"),
     )
-    chunked = files.select("*", F.posexplode("chunks").alias("chunk_no", "chunk"))
-    end_tag = records.DEFAULT_END
-    checked = validate.checked_files(validate.checked_chunks(chunked, end_tag), end_tag)
+    chunked = files.select("source_file", "file_size", F.posexplode("chunks").alias("chunk_no", "chunk")).select(
+        "source_file", F.when(col("chunk_no") == 0, 0).otherwise(100).cast("bigint").alias("split_start"),
+        "file_size", col("chunk_no").cast("bigint").alias("chunk_no"), "chunk",
+    )
+    checked = validate.check_table(chunked, records.DEFAULT_END)
     return checked.select("source_file", "records", col("error").isNull().alias("well_formed"))
 
 
