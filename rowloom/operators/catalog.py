@@ -78,6 +78,12 @@ def has_app_metadata(merged: DataFrame, app_name: str) -> bool:
     return not list_fields(merged, app_name).isEmpty()
 
 
+def metadata_presence(apps: DataFrame, merged: DataFrame) -> DataFrame:
+    """``app_name, has_metadata`` for a table of applications: the same question for many at once."""
+    known = fields(merged).select("app_name").distinct().withColumn("has_metadata", F.lit(True))
+    return apps.join(known, "app_name", "left").withColumn("has_metadata", F.coalesce("has_metadata", F.lit(False)))
+
+
 def list_fields(merged: DataFrame, app_name: str) -> DataFrame:
     return fields(merged).filter(F.col("app_name") == app_name.upper())
 

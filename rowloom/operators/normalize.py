@@ -109,9 +109,8 @@ def normalize(
     mapped = F.col("is_mapped")
     if fail_on_unmapped:
         message = F.concat(
-            F.lit("Unmapped field: app="), F.col("app_name"),
-            F.lit(", position="), F.col("resolved_position"),
-            F.lit(", element="), F.col("xml_element"),
+            F.lit("No field of "), F.col("app_name"), F.lit(" is defined at position "), F.col("resolved_position"),
+            F.lit(" (element "), F.col("xml_element"), F.lit(")"),
         )
         joined = joined.filter(
             F.when(mapped, F.lit(True)).otherwise(F.raise_error(message).cast("boolean"))
@@ -132,3 +131,17 @@ def normalize(
     return joined.select(
         *(computed.get(c, F.col(c)).alias(c) for c in OUTPUT_COLUMNS), *keep
     )
+
+
+def strict_violations(normalized: DataFrame, order: tuple[str, ...]) -> DataFrame:
+    """What strict mode would stop at: the first unmapped cell of each application, and how many there are.
+
+    ``order``: the columns of ``normalized`` that give the order of cells in a file, after its name.
+    One partial aggregation; no application is gathered or sorted.
+    """
+    first = F.min_by(
+        F.struct("source_file", "record_id", "xml_element", "resolved_position", "value"), F.struct("source_file", *order)
+    )
+    return normalized.where(~F.col("is_mapped")).groupBy("app_name").agg(
+        first.alias("first"), F.count("*").alias("n_unmapped")
+    ).select("app_name", "first.*", "n_unmapped")

@@ -233,6 +233,10 @@ _RESOLUTION = " UNION ALL ".join(
         ("STANDARD_SELECTION", 2, f"{_PART_APP} || '_STANDARD_SELECTION.xml'", 2),
         ("STANDARD_SELECTION", 3, f"{_PART_APP} || '.xml'", 5),
         ("RELATIONSHIPS", 3, f"{_PART_APP} || '.xml'", 7),
+        ("LOCAL_REF", 1, f"'LOCAL_REF_' || {_PART_APP} || '.xml'", 4),
+        ("LOCAL_REF", 3, f"{_PART_APP} || '.xml'", 6),
+        ("CUSTOMIZATION", 2, f"{_PART_APP} || '_CUSTOMIZATION.xml'", 11),
+        ("CUSTOMIZATION", 3, f"{_PART_APP} || '.xml'", 9),
     )
 )
 
@@ -349,6 +353,11 @@ ORACLES: dict[str, str] = {
                c_custkey % 10 NOT IN (0, 3) AS well_formed
         FROM customer
     """,
+    "well_formed_splits": """
+        SELECT 'C' || c_custkey || '.xml' AS source_file, CASE WHEN c_custkey % 10 NOT IN (0, 3) THEN 2 END AS records,
+               c_custkey % 10 NOT IN (0, 3) AS well_formed
+        FROM customer
+    """,
     "package_run": _without_source(MULTI_APP),
     "package_encodings": """
         SELECT 'CUSTOMER' AS app_name, CAST(c_custkey AS VARCHAR) AS record_id, p AS resolved_position,
@@ -364,6 +373,28 @@ ORACLES: dict[str, str] = {
                CASE p WHEN '1' THEN CAST(p_partkey AS VARCHAR) ELSE '</row>' || p_name || ' \u0416</row>' END, TRUE
         FROM part, (VALUES ('1'), ('2')) AS positions(p)
     """,
+    "strict_violations_by_app": f"""
+        SELECT app_name, source_file, record_id, xml_element, resolved_position, n_unmapped FROM (
+            SELECT app_name, source_file, record_id, xml_element, resolved_position,
+                   count(*) OVER (PARTITION BY app_name) AS n_unmapped,
+                   row_number() OVER (PARTITION BY app_name ORDER BY CAST(record_id AS BIGINT), CAST(raw_position AS INT), mv_index) AS n
+            FROM (SELECT * FROM ({SUPPLIER}) UNION ALL SELECT * FROM ({PART_BASE_90})) WHERE NOT is_mapped)
+        WHERE n = 1
+    """,
+    "localref_shapes": """
+        SELECT 'S' || s_suppkey AS app_name, s_name AS field_name, CAST(s_suppkey AS VARCHAR) AS position,
+               CASE WHEN s_suppkey % 2 = 0 THEN 'usr' ELSE 'USR' END AS system_type, 'D' AS data_type,
+               'IN2D' AS validation_rule, '11.1' AS format_rule, 'SINGLE' AS cardinality, 'NATION' AS relationship_target,
+               CASE WHEN s_suppkey % 2 = 0 THEN 'R' END AS alignment, CASE WHEN s_suppkey % 2 = 0 THEN 'MANDATORY' END AS input_status,
+               CAST(s_nationkey AS VARCHAR) AS description, s_suppkey % 2 = 1 AS is_local_ref, TRUE AS is_custom_field,
+               CASE WHEN s_suppkey % 2 = 0 THEN 'NATION' END AS target_application,
+               CASE WHEN s_suppkey % 2 = 0 THEN 'STANDARD_SELECTION_C8' END AS relationship_type
+        FROM supplier
+    """,
+    "has_metadata": f"""
+        SELECT app AS app_name, app IN (SELECT app_name FROM ({FIELDS})) AS has_metadata
+        FROM (SELECT DISTINCT {_APP.format(key='o_custkey')} AS app FROM orders)
+    """,
     "run_metrics": """
         SELECT 'CUSTOMER' AS app_name, count(*) AS records, 5 * count(*) AS cells FROM customer
         UNION ALL SELECT 'SUPPLIER', count(*), 4 * count(*) FROM supplier

@@ -24,7 +24,7 @@ from rowloom.config import (
 from rowloom.functions.xml import escape
 from rowloom.operators import analysis, catalog, metadata, validate
 from rowloom.operators.cells import cells
-from rowloom.operators.normalize import normalize
+from rowloom.operators.normalize import normalize, strict_violations
 from rowloom.plans.run import Normalization
 from rowloom.plans.scratch import scratch_path
 from rowloom.sources import package, records
@@ -263,6 +263,22 @@ def strict_mode(spark: SparkSession, sf: str) -> DataFrame:
     return rows.groupBy("app_name", "field_name").agg(F.count(lit(1)).alias("cells"))
 
 
+def strict_violations_by_app(spark: SparkSession, sf: str) -> DataFrame:
+    """The first unmapped cell of each application, where strict mode would stop; customers have none.
+
+    A supplier's positions 2 and 4 are not defined, nor is a part's array at position 90; files are ordered by key here.
+    """
+    rendered = suppliers(spark, sf).withColumn("key", F.regexp_extract("rec", "<c1>([0-9]+)<", 1).cast("bigint")).unionByName(
+        parts(spark, sf, "90").withColumn("key", F.regexp_extract("rec", "<c1>([0-9]+)<", 1).cast("bigint"))
+    ).unionByName(customers(spark, sf).withColumn("key", lit(0).cast("bigint")))
+    rows = normalize(
+        cells(records.from_table(rendered, "rec", "app_name", "source_file", "key")),
+        literal_catalog(spark, {"SUPPLIER": SUPPLIER_SCHEMA, "PART": PART_SCHEMA, "CUSTOMER": CUSTOMER_SCHEMA}),
+        ("64", "90"), broadcast=True, keep=("key", "ord"),
+    )
+    return strict_violations(rows, ("key", "ord")).drop("value")
+
+
 def known_fields_only(spark: SparkSession, sf: str) -> DataFrame:
     return normalized(
         spark, suppliers(spark, sf), {"SUPPLIER": SUPPLIER_SCHEMA}, output_unknown=False
@@ -519,6 +535,34 @@ def metadata_synonyms(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def localref_shapes(spark: SparkSession, sf: str) -> DataFrame:
+    """Local-reference documents of both shapes: repeated columns for even suppliers, nodes for odd ones."""
+    key = col("s_suppkey")
+    columns = F.concat(
+        lit("<LOCAL.REF><ROW>"), _tag("C1", col("s_name")), _tag("C2", lit("usr")), _tag("C3", text(key)), _tag("C4", lit("D")),
+        _tag("C5", lit("IN2D")), _tag("C6", lit("11.1")), _tag("C7", lit("SINGLE")), _tag("C8", lit("NATION")),
+        _tag("C9", lit("R")), _tag("C10", lit("MANDATORY")), _tag("C11", text(col("s_nationkey"))), lit("</ROW></LOCAL.REF>"),
+    )
+    nodes = F.concat(
+        lit("<LOCAL.REF><LOCAL.FIELD>"), _tag("C1", col("s_name")), _tag("POS", text(key)), _tag("C4", lit("D")),
+        _tag("VALIDATION", lit("IN2D")), _tag("LENGTH", lit("11.1")), _tag("MULTI.VALUE", lit("SINGLE")),
+        _tag("FOREIGN.KEY", lit("NATION")), _tag("DESC", text(col("s_nationkey"))), lit("</LOCAL.FIELD></LOCAL.REF>"),
+    )
+    files = table(spark, sf, "supplier").select(
+        F.concat(lit("S"), text(key)).alias("app_name"), lit("s.xml").alias("source"), lit(LOCAL_REF).alias("kind"),
+        F.when(key % 2 == 0, columns).otherwise(nodes).alias("content"),
+    )
+    docs = metadata.documents(files)
+    linked = metadata.load_relationships(docs).select("app_name", "target_application", "relationship_type")
+    return metadata.load_fields(docs).drop("source_rank", "ordinal", "source").join(linked, "app_name", "left")
+
+
+def has_metadata(spark: SparkSession, sf: str) -> DataFrame:
+    """Which applications of the orders have fields in the table catalog."""
+    apps = table(spark, sf, "orders").select(_app_of(col("o_custkey")).alias("app_name")).distinct()
+    return catalog.metadata_presence(apps, table_catalog(spark, sf))
+
+
 def positional_zip_ragged(spark: SparkSession, sf: str) -> DataFrame:
     """One schema document per part with columns of different lengths."""
     key = col("p_partkey")
@@ -557,6 +601,10 @@ def listing_of_parts(spark: SparkSession, sf: str) -> DataFrame:
         entry(STANDARD_SELECTION, F.concat(app, lit("_STANDARD_SELECTION.xml")), number % 2 == 0),
         entry(STANDARD_SELECTION, F.concat(app, lit(".xml")), number % 5 == 0),
         entry(RELATIONSHIPS, F.concat(app, lit(".xml")), number % 7 == 0),
+        entry(LOCAL_REF, F.concat(lit("LOCAL_REF_"), app, lit(".xml")), number % 4 == 0),
+        entry(LOCAL_REF, F.concat(app, lit(".xml")), number % 6 == 0),
+        entry(CUSTOMIZATION, F.concat(app, lit("_CUSTOMIZATION.xml")), number % 11 == 0),
+        entry(CUSTOMIZATION, F.concat(app, lit(".xml")), number % 9 == 0),
     ))
     rows = table(spark, sf, "part").select(F.explode(entries).alias("e"))
     return rows.select(
@@ -581,11 +629,11 @@ def missing_metadata(spark: SparkSession, sf: str) -> DataFrame:
     return package.missing_metadata(listing_of_parts(spark, sf), STANDARD_SELECTION)
 
 
-def well_formedness(spark: SparkSession, sf: str) -> DataFrame:
-    """Each customer as a small file of two splits; some with a bare ampersand or a missing end."""
+def _customer_documents(spark: SparkSession, sf: str, split_start: Column) -> DataFrame:
+    """Each customer as a small file, checked; some with a bare ampersand or a missing end."""
     key = col("c_custkey")
     body = F.concat(
-        lit("<DATA><!-- one customer --><row><c1>"), text(key), lit("</c1><c2>"), col("c_name"),
+        lit("<DATA><row><c1>"), text(key), lit("</c1><c2>"), col("c_name"),
         F.when(key % 10 == 0, lit(" & ")).otherwise(lit(" &amp; ")),
         lit("</c2></row><row/>"), F.when(key % 10 == 3, lit("")).otherwise(lit("</DATA>")),
     )
@@ -594,13 +642,23 @@ def well_formedness(spark: SparkSession, sf: str) -> DataFrame:
         F.octet_length(body).cast("bigint").alias("file_size"), F.split(body, "</row>").alias("chunks"),
     )
     chunked = files.select("source_file", "file_size", F.posexplode("chunks").alias("chunk_no", "chunk")).select(
-        "source_file", F.when(col("chunk_no") == 0, 0).otherwise(100).cast("bigint").alias("split_start"),
-        "file_size", col("chunk_no").cast("bigint").alias("chunk_no"), "chunk",
+        "source_file", split_start.cast("bigint").alias("split_start"), "file_size",
+        col("chunk_no").cast("bigint").alias("chunk_no"), "chunk",
     )
     checked = validate.check_table(chunked, records.DEFAULT_END)
     return checked.select("source_file", "records", col("error").isNull().alias("well_formed"))
 
 
+def well_formedness(spark: SparkSession, sf: str) -> DataFrame:
+    return _customer_documents(spark, sf, lit(0))
+
+
+def well_formed_splits(spark: SparkSession, sf: str) -> DataFrame:
+    """The same files in two splits each; records of those that do not parse are not compared."""
+    checked = _customer_documents(spark, sf, F.when(col("chunk_no") == 0, 0).otherwise(100))
+    return checked.withColumn("records", F.when(col("well_formed"), col("records")))
+
+
 def write_package(spark: SparkSession, sf: str) -> str:
     """Customers, suppliers and nations as a package in the shared folder."""
     root = scratch_path(spark, "package")
@@ -776,12 +834,12 @@ QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
         normalize_customer, normalize_orders_multivalue, normalize_lineitem_subvalue,
-        normalize_part_localref, unmapped_warnings, localref_without_metadata, strict_mode,
+        normalize_part_localref, unmapped_warnings, localref_without_metadata, strict_mode, strict_violations_by_app, localref_shapes, has_metadata,
         known_fields_only, custom_record_id, text_escaping, markup_in_records,
         events_incremental, events_stream, truncated_records, catalog_precedence, relationship_precedence,
         target_precedence, list_localref_fields, field_lookup, catalog_summary,
         metadata_synonyms, positional_zip_ragged, app_discovery, skipped_apps,
-        metadata_resolution, missing_metadata, well_formedness, package_run, package_encodings, run_metrics,
+        metadata_resolution, missing_metadata, well_formedness, well_formed_splits, package_run, package_encodings, run_metrics,
         record_counts, local_ref_coverage, undeclared_localrefs, filter_record, mapped_only,
         localref_only, profile, pivot_wide, preview, bounded_table, flat_roundtrip,
         csv_roundtrip, jsonl_roundtrip,
