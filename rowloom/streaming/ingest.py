@@ -62,7 +62,7 @@ def sort_out(
     """
     spark = chunked.sparkSession
     splits = materialize(structure.splits(chunked), "stream-splits")
-    states = materialize(structure.start_states(splits, spark), "stream-states")
+    states = structure.inside_markup(splits, spark)
     sizes = splits.groupBy("source_file").agg(F.first("file_size").alias("file_size"))
     files = structure.files(splits, states, end_tag).join(sizes, "source_file").withColumn(
         "encoding", F.upper(F.coalesce("encoding", F.lit(config.encoding)))
