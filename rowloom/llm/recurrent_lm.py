@@ -25,13 +25,17 @@ HEAD_WORDS, HEAD_BYTES = 150_000, 64
 #: Words the network tells apart; all others are one class with their own counts.
 VOCABULARY = 2_048
 HIDDEN, EMBEDDED = 24, 24
-#: Passes over all training tokens.  A task lays its documents end to end, STREAM tokens at a time or one
+#: The documents of each turn; weights of all tasks are averaged after a turn, and every training token is in one.
+#: A task lays its documents end to end, STREAM tokens at a time or one
 #: longer document, as GROUP lanes at most, of LANE tokens or more; back-propagation
 #: is cut every BACK tokens while the state is carried on.
-EPOCHS, GROUP, LANE, STREAM, BACK = 3, 256, 1_024, 1 << 20, 16
-RATE = 0.01
+TURNS, GROUP, LANE, STREAM, BACK = 3, 1_024, 1_024, 1 << 20, 16
+#: Learning rate of the first turn, and what it is multiplied by for each further one.
+RATE, FALL = 0.02, 0.5
 #: Tokens of a scoring window; the state is carried from one to the next.
 WINDOW, DOCUMENTS = 64, 1_024
+#: Targets whose output layer is computed at once, so that it stays in the cache.
+BLOCK = 4_096
 SEED = 5
 
 
@@ -83,10 +87,6 @@ def head_of(counts: DataFrame) -> Head:
     return Head([w for _, w in rows], np.array([c for c, _ in rows], np.int64), total["n"] or 0, total["v"])
 
 
-def sigmoid(x: np.ndarray) -> np.ndarray:
-    return 1 / (1 + np.exp(-x))
-
-
 class Network:
     """GRU with an output of two steps: the class of the next token, then the token within its class.
 
@@ -109,30 +109,29 @@ class Network:
         }
 
     def step(self, x: np.ndarray, h: np.ndarray) -> tuple[np.ndarray, ...]:
-        hu = h @ self.p["u"]
-        gates = sigmoid(x[:, :2 * HIDDEN] + hu[:, :2 * HIDDEN])
-        z, r = gates[:, :HIDDEN], gates[:, HIDDEN:]
-        n = np.tanh(x[:, 2 * HIDDEN:] + r * hu[:, 2 * HIDDEN:])
-        return n + z * (h - n), z, r, n, hu[:, 2 * HIDDEN:]
+        """The state after each row of ``h``, and what its gradient needs."""
+        return tuple(part.T for part in _cell(x.T, h.T, self.p["u"].T))
 
     def log_probabilities(self, h: np.ndarray, targets: np.ndarray) -> np.ndarray:
         """Natural log-probability of each target after the state in the same row."""
-        out = _log_softmax_at(h @ self.p["wc"] + self.p["bc"], self.classes[targets])
-        for rows, low, high in self.by_class(targets):
-            logits = h[rows] @ self.p["ww"][:, low:high] + self.p["bw"][low:high]
-            out[rows] += _log_softmax_at(logits, targets[rows] - low)
-        return out
-
-    def by_class(self, targets: np.ndarray) -> Iterator[tuple[np.ndarray, int, int]]:
-        """Rows of each class of several words, with the class's words."""
         own = self.classes[targets]
         order = np.argsort(own, kind="stable")
+        turned, words, out = h[order], targets[order], np.empty(len(targets))
         cuts = np.searchsorted(own[order], np.arange(len(self.bounds)))
+        for low in range(0, len(targets), BLOCK):
+            rows = slice(low, low + BLOCK)
+            logits = self.p["wc"].T @ turned[rows].T + self.p["bc"][:, None]
+            out[rows] = _log_softmax_at(logits, self.classes[words[rows]])
         for k, (low, high) in enumerate(zip(self.bounds, self.bounds[1:])):
-            if cuts[k + 1] > cuts[k]:
-                yield order[cuts[k]:cuts[k + 1]], low, high
-
-    def train(self, streams: Iterable[np.ndarray]) -> int:
+            for start in range(cuts[k], cuts[k + 1], BLOCK):
+                rows = slice(start, min(start + BLOCK, cuts[k + 1]))
+                logits = self.p["ww"][:, low:high].T @ turned[rows].T + self.p["bw"][low:high, None]
+                out[rows] += _log_softmax_at(logits, words[rows] - low)
+        back = np.empty_like(out)
+        back[order] = out
+        return back
+
+    def train(self, streams: Iterable[np.ndarray], rate: float = RATE) -> int:
         """Adam over truncated back-propagation, once through each stream; how many tokens were predicted.
 
         A stream is cut into lanes that meet end to end, so that every token after its first is a target once.
@@ -156,7 +155,7 @@ class Network:
                     m, v = state[k]
                     m += 0.1 * (g - m)
                     v += 0.01 * (g * g - v)
-                    self.p[k] -= RATE * (m / (1 - 0.9 ** t)) / (np.sqrt(v / (1 - 0.99 ** t)) + 1e-6)
+                    self.p[k] -= rate * (m / (1 - 0.9 ** t)) / (np.sqrt(v / (1 - 0.99 ** t)) + 1e-6)
             seen += n
         return seen
 
@@ -168,57 +167,71 @@ class Network:
         With ``used``, which targets count, documents follow each other in a row,
         and the state begins anew after each end, as it does in scoring.
         """
-        p, steps = self.p, tokens.shape[1] - 1
-        table = p["emb"] @ p["w"] + p["b"]
-        kept, states = [], []
-        going = np.ones((*tokens.shape, 1), np.float32) if used is None else (tokens != 0)[..., None].astype(np.float32)
+        p, (lanes, steps) = self.p, (len(tokens), tokens.shape[1] - 1)
+        table, ut = p["emb"] @ p["w"] + p["b"], np.ascontiguousarray(p["u"].T)
+        given, targets = tokens[:, :-1].T.ravel(), tokens[:, 1:].T.ravel()
+        # Units are rows and lanes are columns: gates are then slices without gaps.
+        columns = np.ascontiguousarray(table.T)
+        going = np.ones(len(given), h.dtype) if used is None else (given != 0).astype(h.dtype)
+        going, h = going.reshape(steps, lanes), np.ascontiguousarray(h.T)
+        kept, states = [], np.empty((steps, *h.shape), h.dtype)
         for k in range(steps):
-            h = h * going[:, k]
-            new, z, r, n, hn = self.step(table[tokens[:, k]], h)
-            kept.append((h, z, r, n, hn))
-            states.append(new)
-            h = new
-        out, targets = np.concatenate(states), tokens[:, 1:].T.ravel()
-        counted = np.ones(len(targets), np.float32) if used is None else used.T.ravel().astype(np.float32)
-        scale = (counted / max(1.0, float(counted.sum())))[:, None]
+            h = h * going[k]
+            states[k], *own = _cell(columns.take(given[k * lanes:(k + 1) * lanes], axis=1), h, ut)
+            kept.append((h, *own))
+            h = states[k]
+        counted = np.ones(len(targets), h.dtype) if used is None else used.T.ravel().astype(h.dtype)
+        scale = counted / max(1.0, float(counted.sum()))
         g = {k: np.zeros_like(v) for k, v in p.items()}
-        error = _softmax(out @ p["wc"] + p["bc"])
-        error[np.arange(len(targets)), self.classes[targets]] -= 1
-        error *= scale
-        g["wc"], g["bc"], dout = out.T @ error, error.sum(axis=0), error @ p["wc"].T
-        # Rows in order of the target's class, so that each class is a slice of them.
-        order = np.argsort(self.classes[targets], kind="stable")
-        turned, own, scale, more = out[order], targets[order], scale[order], np.zeros_like(dout)
-        cuts = np.searchsorted(self.classes[own], np.arange(len(self.bounds)))
+        own = self.classes[targets]
+        dout = np.empty_like(states)
+        at, wct = np.arange(lanes), np.ascontiguousarray(p["wc"].T)
+        for k in range(steps):
+            now = slice(k * lanes, (k + 1) * lanes)
+            error = _softmax(wct @ states[k] + p["bc"][:, None])
+            error[own[now], at] -= 1
+            error *= scale[now]
+            g["wc"] += states[k] @ error.T
+            g["bc"] += error.sum(axis=1)
+            dout[k] = p["wc"] @ error
+        # Columns in order of the target's class, so that each class is a slice of them.
+        order = np.argsort(own.astype(np.int16), kind="stable")
+        turned = states.transpose(1, 0, 2).reshape(len(h), -1).take(order, axis=1)
+        words, scale, more = targets[order], scale[order], np.zeros_like(turned)
+        cuts = np.searchsorted(own[order], np.arange(len(self.bounds)))
         for k, (low, high) in enumerate(zip(self.bounds, self.bounds[1:])):
             rows = slice(cuts[k], cuts[k + 1])
             if rows.stop > rows.start:
-                error = _softmax(turned[rows] @ p["ww"][:, low:high] + p["bw"][low:high])
-                error[np.arange(len(error)), own[rows] - low] -= 1
+                wwt = np.ascontiguousarray(p["ww"][:, low:high].T)
+                error = _softmax(wwt @ turned[:, rows] + p["bw"][low:high, None])
+                error[words[rows] - low, np.arange(rows.stop - rows.start)] -= 1
                 error *= scale[rows]
-                g["ww"][:, low:high], g["bw"][low:high] = turned[rows].T @ error, error.sum(axis=0)
-                more[rows] = error @ p["ww"][:, low:high].T
-        dout[order] += more
-        dout = dout.reshape(steps, len(tokens), HIDDEN)
-        dh, moved = np.zeros_like(h), np.empty((steps, len(tokens), 3 * HIDDEN), h.dtype)
+                g["ww"][:, low:high], g["bw"][low:high] = turned[:, rows] @ error.T, error.sum(axis=1)
+                more[:, rows] = wwt.T @ error
+        back = np.empty_like(order)
+        back[order] = np.arange(len(order))
+        dout += more.take(back, axis=1).reshape(-1, steps, lanes).transpose(1, 0, 2)
+        dh, moved = np.zeros_like(h), np.empty((steps, 3 * HIDDEN, lanes), h.dtype)
         for k in range(steps - 1, -1, -1):
             before, z, r, n, hn = kept[k]
-            dh = dh + dout[k]
-            dn = dh * (1 - z) * (1 - n * n)
-            dz = dh * (before - n) * z * (1 - z)
-            dr = dn * hn * r * (1 - r)
-            moved[k] = np.concatenate([dz, dr, dn], axis=1)
-            du = np.concatenate([dz, dr, dn * r], axis=1)
-            g["u"] += before.T @ du
-            dh = (dh * z + du @ p["u"].T) * going[:, k]
-        # Sums by token: rows in order of tokens, added up from each token's first.
-        given, dtable = tokens[:, :-1].T.ravel(), np.zeros_like(table)
-        order = np.argsort(given, kind="stable")
+            dh += dout[k]
+            dz, dr, dn = np.split(moved[k], 3)
+            np.multiply(dh * (1 - z), 1 - n * n, out=dn)
+            np.multiply(dh * (before - n), z * (1 - z), out=dz)
+            np.multiply(dn * hn, r * (1 - r), out=dr)
+            du = moved[k].copy()
+            du[2 * HIDDEN:] *= r
+            g["u"] += before @ du.T
+            dh = (dh * z + p["u"] @ du) * going[k]
+        # Sums by token: columns in order of tokens, added up from each token's first.
+        dtable = np.zeros_like(table)
+        order = np.argsort(given.astype(np.uint16), kind="stable")
         present, first = np.unique(given[order], return_index=True)
-        dtable[present] = np.add.reduceat(moved.reshape(-1, 3 * HIDDEN)[order], first, axis=0)
+        turned = moved.transpose(1, 0, 2).reshape(3 * HIDDEN, -1).take(order, axis=1)
+        dtable[present] = np.add.reduceat(turned, first, axis=1).T
         g["emb"], g["w"], g["b"] = dtable @ p["w"].T, p["emb"].T @ dtable, dtable.sum(axis=0)
         size = np.sqrt(sum(float((v * v).sum()) for v in g.values()))
-        return {k: v * min(1.0, 1.0 / (size + 1e-9)) for k, v in g.items()}, h
+        return {k: v * min(1.0, 1.0 / (size + 1e-9)) for k, v in g.items()}, h.T
 
     def score(self, documents: list[np.ndarray]) -> np.ndarray:
         """Natural log-probability of each whole document; the state is carried from window to window.
@@ -230,8 +243,9 @@ class Network:
         order = np.argsort(-lengths, kind="stable")
         total = np.zeros(len(documents))
         table = (self.p["emb"] @ self.p["w"] + self.p["b"]).astype(np.float32)
+        table, ut = np.ascontiguousarray(table.T), np.ascontiguousarray(self.p["u"].T)
         # Every document begins after the end of another.
-        h = np.zeros((len(documents), HIDDEN), np.float32)
+        h = np.zeros((HIDDEN, len(documents)), np.float32)
         last = np.zeros(len(documents), np.int64)
         sorted_lengths = lengths[order]
         for start in range(0, int(lengths.max(initial=0)), WINDOW):
@@ -245,9 +259,9 @@ class Network:
             states, targets, owners = [], [], []
             for k in range(steps):
                 n = int(going[k])
-                h = self.step(table[last[:n]], h[:n])[0]
+                h = _cell(table.take(last[:n], axis=1), h[:, :n], ut)[0]
                 last = tokens[:n, k]
-                states.append(h)
+                states.append(h.T)
                 targets.append(last)
                 owners.append(order[:n])
             gained = self.log_probabilities(np.concatenate(states), np.concatenate(targets))
@@ -255,15 +269,37 @@ class Network:
         return total
 
 
+def _cell(x: np.ndarray, h: np.ndarray, ut: np.ndarray) -> tuple[np.ndarray, ...]:
+    """One step of the gated unit for states in columns: the new state, both gates, the candidate and its own part."""
+    hu = ut @ h
+    gates = x[:2 * HIDDEN] + hu[:2 * HIDDEN]
+    np.negative(gates, out=gates)
+    np.exp(gates, out=gates)
+    gates += 1
+    np.reciprocal(gates, out=gates)
+    z, r, hn = gates[:HIDDEN], gates[HIDDEN:], hu[2 * HIDDEN:]
+    n = r * hn
+    n += x[2 * HIDDEN:]
+    np.tanh(n, out=n)
+    new = h - n
+    new *= z
+    new += n
+    return new, z, r, n, hn
+
+
 def _softmax(logits: np.ndarray) -> np.ndarray:
-    e = np.exp(logits - logits.max(axis=1, keepdims=True))
-    return e / e.sum(axis=1, keepdims=True)
+    """Of each column, in place."""
+    logits -= logits.max(axis=0)
+    np.exp(logits, out=logits)
+    logits /= logits.sum(axis=0)
+    return logits
 
 
 def _log_softmax_at(logits: np.ndarray, at: np.ndarray) -> np.ndarray:
-    top = logits.max(axis=1)
-    total = np.log(np.exp(logits - top[:, None]).sum(axis=1)) + top
-    return (logits[np.arange(len(at)), at] - total).astype(np.float64)
+    """Of one row in each column."""
+    logits -= logits.max(axis=0)
+    chosen = logits[at, np.arange(len(at))].astype(np.float64)
+    return chosen - np.log(np.exp(logits, out=logits).sum(axis=0))
 
 
 def _encode(shared) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
@@ -308,11 +344,11 @@ def _learned(part: int, n: int, weights: np.ndarray) -> pa.RecordBatch:
     ], names=["part", "n", "weights"])
 
 
-def _train(shared) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+def _train(shared, rate: float) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     """One row a task: the weights after all its documents, times the number of its tokens."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         network = pickle.loads(shared.value)
-        n = network.train(_streams(batches))
+        n = network.train(_streams(batches), rate)
         if n:
             flat = np.concatenate([v.ravel() for v in network.p.values()]).astype(np.float64)
             yield _learned(TaskContext.get().partitionId(), n, flat * n)
@@ -338,8 +374,8 @@ def _add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def fit(training: DataFrame, head: Head) -> Network:
     """The network, its output begun at the corpus counts and fitted on every token of the training texts.
 
-    Documents are numbered once and dealt to tasks by lot.  In each round every
-    task goes on from the same weights through all its documents; the
+    Documents are numbered once and dealt to tasks and turns by lot.  In each turn every
+    task goes on from the same weights through all its documents of that turn; the
     weights of all tasks are averaged by tokens, first in groups of tasks, then on the driver,
     which holds about the root of the number of tasks, each of the network's fixed size.
     """
@@ -351,10 +387,14 @@ def fit(training: DataFrame, head: Head) -> Network:
     network.vocabulary = ordered
     share = lambda x: training.sparkSession.sparkContext.broadcast(cloudpickle.dumps(x))
     dealt = training.select("text").mapInArrow(_encode(share(ordered)), "lot long, tokens binary")
-    tokens = materialize(dealt.repartition("lot").sortWithinPartitions("lot").select("tokens"), "lm-tokens")
+    turn = (F.col("lot") % TURNS).cast("int").alias("turn")
+    # In order of turns, so that a turn's scan can leave out the pages of the others.
+    tokens = dealt.repartition("lot").select(turn, "lot", "tokens").sortWithinPartitions("turn", "lot").drop("lot")
+    tokens = materialize(tokens, "lm-tokens")
     groups = max(1, int(np.ceil(np.sqrt(tokens.rdd.getNumPartitions()))))
-    for _ in range(EPOCHS):
-        learned = tokens.mapInArrow(_train(share(network)), LEARNED)
+    for k in range(TURNS):
+        own = tokens.where(F.col("turn") == k).select("tokens")
+        learned = own.mapInArrow(_train(share(network), RATE * FALL ** k), LEARNED)
         rows = learned.repartition(groups, F.col("part") % groups).mapInArrow(_add, LEARNED).collect()
         if rows:
             n, total = _sum([tuple(r) for r in rows])
