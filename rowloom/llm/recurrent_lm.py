@@ -33,7 +33,7 @@ TURNS, GROUP, LANE, STREAM, BACK = 3, 1_024, 1_024, 1 << 20, 16
 #: Learning rate of the first turn, and what it is multiplied by for each further one.
 RATE, FALL = 0.02, 0.5
 #: Tokens of a scoring window; the state is carried from one to the next.
-WINDOW, DOCUMENTS = 64, 1_024
+WINDOW, DOCUMENTS = 64, 4_096
 #: Targets whose output layer is computed at once, so that it stays in the cache.
 BLOCK = 4_096
 SEED = 5
@@ -97,9 +97,12 @@ class Network:
     def __init__(self, counts: np.ndarray, rest: float):
         self.size = n = len(counts)
         rng = np.random.default_rng(SEED)
-        width = max(1, int(np.ceil(np.sqrt(n))))
-        self.classes = np.append(np.arange(n) // width, -(-n // width)).astype(np.int64)
-        self.bounds = [*range(0, n, width), n]
+        # Classes of like sums of root frequencies: small ones for frequent words, so that the output costs least.
+        mass = np.cumsum(np.sqrt(counts + 0.5))
+        several = max(1, round(0.7 * np.sqrt(n)))
+        cuts = np.searchsorted(mass, mass[-1] * np.arange(1, several) / several)
+        self.bounds = np.unique([0, *cuts, n]).tolist()
+        self.classes = np.append(np.searchsorted(self.bounds, np.arange(n), side="right") - 1, len(self.bounds) - 1)
         mass = np.bincount(self.classes, np.append(counts, rest) + 0.5).astype(np.float32)
         draw = lambda *shape: rng.normal(0, 0.1, shape).astype(np.float32)
         self.p = {
