@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from rowloom.plans.scratch import materialize
+
 OUTPUT_COLUMNS = (
     "app_name", "record_id", "source_file", "xml_element", "raw_position",
     "resolved_position", "field_name", "system_type", "data_type", "format_rule",
@@ -17,9 +19,12 @@ UNMAPPED = "UNMAPPED_FIELD"
 LOCAL_REF_UNMAPPED = "LOCAL_REF_WITHOUT_METADATA"
 SUB_WITHOUT_MULTI = "SUB_VALUE_WITHOUT_MULTI_VALUE"
 
-# Copies of a catalog row in the shuffled join: cells of one position go to this
-# many tasks, and adaptive execution splits those further where they are large.
-SALT = 16
+# Positions whose cells are joined without a shuffle where the catalog is too large to send: as many as
+# HEAVY, found by a summary of TRACKED counters.  Catalog rows of more than ROW_BYTES are left to the
+# shuffle, so what is sent is at most HEAVY * ROW_BYTES.
+HEAVY, TRACKED, ROW_BYTES = 4_096, 32_768, 4_096
+# Separates application and position in one key; it cannot occur in XML.
+SEPARATOR = "\x00"
 
 _SLIM = (
     "field_name", "system_type", "data_type", "format_rule", "cardinality",
@@ -55,21 +60,53 @@ def lookup_table(catalog: DataFrame) -> DataFrame:
     )
 
 
+def _row_bytes() -> Column:
+    """Text of a row of the lookup table, and a little for each row."""
+    texts = ["app_name", "resolved_position", "target", *(f"f.{c}" for c in _SLIM if not c.startswith("is_"))]
+    return sum((F.coalesce(F.octet_length(c), F.lit(0)) for c in texts), F.lit(64))
+
+
+def lookup_bytes(catalog: DataFrame) -> int:
+    """Measured size of what a broadcast of the catalog would send."""
+    return lookup_table(catalog).agg(F.sum(_row_bytes())).first()[0] or 0
+
+
+def heavy_positions(cells: DataFrame) -> DataFrame:
+    """``app_name, resolved_position`` of the positions with most cells, mapped or not.
+
+    Every position that has more than about 4 / TRACKED of all cells is among them.  The summary
+    depends on the order in which its parts meet, so it is written once: both
+    sides of the join have to agree about what is heavy.
+    """
+    key = F.concat("app_name", F.lit(SEPARATOR), "resolved_position")
+    top = cells.select(key.alias("key")).where("key IS NOT NULL").agg(F.expr(f"approx_top_k(key, {HEAVY}, {TRACKED})").alias("top"))
+    item = F.split(F.col("found.item"), SEPARATOR, 2)
+    found = top.select(F.explode("top").alias("found")).select(
+        item[0].alias("app_name"), item[1].alias("resolved_position")
+    )
+    return materialize(found, "heavy")
+
+
 def attach_catalog(cells: DataFrame, catalog: DataFrame, broadcast: bool) -> DataFrame:
     """Left join on (application, resolved position).
 
-    ``broadcast`` is for catalogs of known, bounded size: cells then never move.
-    Otherwise both sides are salted, so that no position is one task.
+    ``broadcast`` is for catalogs of measured, bounded size: cells then never move.
+    Otherwise one pass over the cells finds the heavy positions, at once; their cells are joined to their few
+    catalog rows in place, and only the cells of all other positions are shuffled.
     """
     keys = ["app_name", "resolved_position"]
     table = lookup_table(catalog)
     if broadcast:
         return cells.join(F.broadcast(table), keys, "left")
-    salted = cells.withColumn(
-        "salt", F.pmod(F.xxhash64("record_id", "ord", "value"), F.lit(SALT)).cast("int")
-    )
-    copies = table.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALT - 1))))
-    return salted.join(copies, [*keys, "salt"], "left").drop("salt")
+    heavy = heavy_positions(cells)
+    known = table.join(F.broadcast(heavy), keys, "left_semi").withColumn("large", _row_bytes() > ROW_BYTES)
+    # Of a large row only the key is sent, so that its cells can be told apart and moved.
+    slim = known.select(*keys, F.when(~F.col("large"), F.col("f")).alias("f"), "has_field",
+                        F.when(~F.col("large"), F.col("target")).alias("target"), "large")
+    rows = heavy.join(F.broadcast(slim), keys, "left").where(~F.coalesce("large", F.lit(False))).drop("large")
+    in_place = cells.join(F.broadcast(rows), keys)
+    moved = cells.join(F.broadcast(rows.select(*keys)), keys, "left_anti").join(table, keys, "left")
+    return in_place.unionByName(moved)
 
 
 def warning_text(mapped: Column, bases: tuple[str, ...]) -> Column:

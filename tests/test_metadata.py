@@ -166,3 +166,27 @@ def test_broadcast_and_salted_joins_agree(spark):
     # A replaced field keeps the relationship that an earlier source gave it.
     assert (one["1"].field_name, one["1"].relationship_target) == ("K", "TA")
     assert (one["8"].is_mapped, one["8"].relationship_target, one["8"].field_name) == (False, "T8", "FIELD_8")
+
+
+@pytest.mark.parametrize("heavy, row_bytes", [(1, 4096), (2, 4096), (4096, 10), (4096, 4096)])
+def test_heavy_positions_agree_with_the_broadcast(spark, monkeypatch, heavy, row_bytes):
+    """Whatever part of the positions is joined in place, mapped or not, no cell is lost or met twice."""
+    from rowloom.operators import normalize as n
+
+    merged = catalog.catalog(docs(spark, *DOCUMENTS))
+    cells = spark.createDataFrame(
+        [("APP", "f", "r", i, f"c{p}", p, m, None, str(i))
+         for i, (p, m) in enumerate([("1", None)] * 50 + [("9", None)] * 30 + [("2", "1"), ("8", None), ("64", "1"), (None, None)])],
+        "app_name STRING, source_file STRING, record_id STRING, ord INT, xml_element STRING, "
+        "raw_position STRING, mv_index STRING, sv_index STRING, value STRING",
+    )
+    monkeypatch.setattr(n, "HEAVY", heavy)
+    monkeypatch.setattr(n, "ROW_BYTES", row_bytes)
+    resolved = cells.withColumn("resolved_position", n.resolved_position(("64",)))
+    found = {r.resolved_position for r in n.heavy_positions(resolved).collect()}
+    assert found == ({"1"} if heavy == 1 else {"1", "9"} if heavy == 2 else {"1", "9", "2", "8", "64.1"})
+    rows = [sorted(n.normalize(cells, merged, broadcast=b).collect(), key=str) for b in (True, False)]
+    assert rows[0] == rows[1] and len(rows[0]) == 84
+    plan = n.normalize(cells, merged, broadcast=False)._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "Union" in plan
+    assert n.lookup_bytes(merged) > 64 * merged.count() and n.lookup_bytes(merged.limit(0)) == 0
