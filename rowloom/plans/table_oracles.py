@@ -400,6 +400,30 @@ ORACLES: dict[str, str] = {
         UNION ALL SELECT 'SUPPLIER', count(*), 4 * count(*) FROM supplier
         UNION ALL SELECT 'NATION', count(*), 3 * count(*) FROM nation
     """,
+    "package_findings": """
+        WITH optional AS (SELECT unnest(['local_ref', 'customization', 'relationships']) AS entry),
+        files AS (SELECT n_nationkey AS k FROM nation WHERE n_nationkey % 4 = 1),
+        documents AS (SELECT n_nationkey AS k FROM nation WHERE n_nationkey % 3 = 0),
+        found AS (
+            SELECT 'absent' AS package, 'CRITICAL' AS severity, 'root' AS "check", '' AS entry, 1 AS n
+            UNION ALL SELECT 'unnamed', 'CRITICAL', 'metadata_directory', 'metadata', 1
+            UNION ALL SELECT 'unnamed', 'CRITICAL', 'xsd_directory', 'xsd', 1
+            UNION ALL SELECT 'unnamed', 'CRITICAL', 'data_files', 'data', 1
+            UNION ALL SELECT 'dataless', 'CRITICAL', 'data_directory', 'data', 1
+            UNION ALL SELECT 'dataless', 'CRITICAL', 'metadata_directory', 'metadata', 1
+            UNION ALL SELECT p, 'INFO', 'optional_directory', entry, 1
+            FROM optional, (SELECT unnest(['unnamed', 'dataless', 'sound', 'broken']) AS p)
+            WHERE p <> 'dataless' OR entry <> 'relationships'
+            UNION ALL SELECT 'broken', 'CRITICAL', 'data_well_formed', 'data/NATION.xml', count(*) FROM files HAVING count(*) > 0
+            UNION ALL SELECT 'broken', 'CRITICAL', 'metadata_well_formed', 'metadata/STANDARD_SELECTION_NATION.xml', count(*)
+            FROM documents HAVING count(*) > 0
+        ), errors AS (
+            SELECT package, coalesce(sum(n) FILTER (WHERE severity = 'CRITICAL'), 0) AS n_errors FROM found GROUP BY package
+        )
+        SELECT package, severity, "check", entry, CAST(n AS BIGINT) AS n, n_errors = 0 AS is_valid,
+               CAST(n_errors AS BIGINT) AS n_errors
+        FROM found JOIN errors USING (package)
+    """,
     "record_counts": """
         SELECT 'ORDERS' AS app_name, 3 * count(*) AS records FROM orders
         UNION ALL SELECT 'CUSTOMER', count(*) FROM customer

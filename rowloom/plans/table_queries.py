@@ -9,6 +9,7 @@ application, and joined by shuffle instead of broadcast.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -659,6 +660,44 @@ def well_formed_splits(spark: SparkSession, sf: str) -> DataFrame:
     return checked.withColumn("records", F.when(col("well_formed"), col("records")))
 
 
+def _write_files(rows: DataFrame, value: Column, path: str) -> None:
+    """One file for each row, below one entry of a package."""
+    rows.select(value.alias("value")).write.option("maxRecordsPerFile", 1).text(path)
+
+
+def package_findings(spark: SparkSession, sf: str) -> DataFrame:
+    """What validation finds in packages that lack something or hold documents that do not parse.
+
+    Findings are counted by check and entry, beside the verdict.  In the last package each nation is a data
+    file, of which every fourth has a bare ampersand, and a schema document, of which every third has no end.
+    """
+    base = scratch_path(spark, "findings")
+    customer, nation = table(spark, sf, "customer"), table(spark, sf, "nation")
+    key = col("n_nationkey")
+    ampersand = F.when(key % 4 == 1, lit(" & ")).otherwise(lit(" "))
+    plain = record(cell("1", text(col("c_custkey"))), cell("2", col("c_name")))
+    doubtful = record(cell("1", text(key)), lit("<c2>"), col("n_name"), ampersand, lit("</c2>"))
+    end = F.when(key % 3 == 0, lit("")).otherwise(lit("</ROW>"))
+    schemas = F.concat(lit("<ROW><C1>"), col("n_name"), lit("</C1><C3>1</C3>"), end)
+    write_records(customer.select(plain.alias("rec")), "rec", f"{base}/unnamed/data/CUSTOMER.txt")
+    write_records(nation.select(schemas.alias("rec")), "rec", f"{base}/dataless/relationships/RELATIONSHIPS_NATION.xml")
+    write_records(customer.select(plain.alias("rec")), "rec", f"{base}/sound/data/CUSTOMER.xml")
+    write_document(spark, CUSTOMER_SCHEMA, f"{base}/sound/metadata/STANDARD_SELECTION_CUSTOMER.xml")
+    _write_files(nation, doubtful, f"{base}/broken/data/NATION.xml")
+    _write_files(nation, schemas, f"{base}/broken/metadata/STANDARD_SELECTION_NATION.xml")
+    found = []
+    for name in ("absent", "unnamed", "dataless", "sound", "broken"):
+        root = f"{base}/{name}"
+        findings = Normalization(spark, PackageConfig(root, require_xsd=name == "unnamed")).validate()
+        result = validate.verdict(findings)
+        entry = F.regexp_replace(F.substring_index("path", f"/{name}", -1), r"^/([^/]+(?:/[^/]+)?).*$", "$1")
+        found.append(findings.groupBy("severity", "check", entry.alias("entry")).agg(F.count("*").alias("n")).select(
+            lit(name).alias("package"), "severity", "check", "entry", "n",
+            lit(result.is_valid).alias("is_valid"), lit(result.n_errors).cast("bigint").alias("n_errors"),
+        ))
+    return reduce(DataFrame.unionByName, found)
+
+
 def write_package(spark: SparkSession, sf: str) -> str:
     """Customers, suppliers and nations as a package in the shared folder."""
     root = scratch_path(spark, "package")
@@ -839,7 +878,7 @@ QUERIES: dict[str, Query] = {
         events_incremental, events_stream, truncated_records, catalog_precedence, relationship_precedence,
         target_precedence, list_localref_fields, field_lookup, catalog_summary,
         metadata_synonyms, positional_zip_ragged, app_discovery, skipped_apps,
-        metadata_resolution, missing_metadata, well_formedness, well_formed_splits, package_run, package_encodings, run_metrics,
+        metadata_resolution, missing_metadata, well_formedness, well_formed_splits, package_findings, package_run, package_encodings, run_metrics,
         record_counts, local_ref_coverage, undeclared_localrefs, filter_record, mapped_only,
         localref_only, profile, pivot_wide, preview, bounded_table, flat_roundtrip,
         csv_roundtrip, jsonl_roundtrip,
