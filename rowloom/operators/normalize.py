@@ -74,7 +74,7 @@ def lookup_bytes(catalog: DataFrame) -> int:
 def heavy_positions(cells: DataFrame) -> DataFrame:
     """``app_name, resolved_position`` of the positions with most cells, mapped or not.
 
-    Every position that has more than about 4 / TRACKED of all cells is among them.  The summary
+    Every position that has more than about 1 / HEAVY + 4 / TRACKED of all cells is among them.  The summary
     depends on the order in which its parts meet, so it is written once: both
     sides of the join have to agree about what is heavy.
     """
