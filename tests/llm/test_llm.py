@@ -373,6 +373,43 @@ def test_quality(spark, odd):
     assert sum((r["quality"] == 1) == r["accepted"] for r in got) >= 0.97 * len(got)
     assert quality.judged(odd, labels).count() == len(ODD)
     assert quality.accepted_documents(odd, labels.limit(0)).count() == len(ODD)
+    assert quality.judged(odd.limit(0), labels).count() == 0
+
+
+def test_quality_held_out(spark):
+    """Labels of a fifth of the documents are kept back; both kinds must be found among them."""
+    labels = table(spark, "/root/testdata/sf0.1", "labels")
+    docs = table(spark, "/root/testdata/sf0.1", "documents")
+    got = quality.judged(docs, labels.where("doc_id % 5 != 0")).join(labels.where("doc_id % 5 = 0"), "doc_id").collect()
+    bad = [r for r in got if r["quality"] == 0]
+    refused = [r for r in got if not r["accepted"]]
+    hits = sum(not r["accepted"] for r in bad)
+    assert len(bad) > 50 and hits >= 0.85 * len(bad) and hits >= 0.85 * len(refused)
+
+
+def test_quality_pool_is_whole(spark, monkeypatch):
+    """Every unlabelled document that a view is sure of may be drawn: null ids and repeated rows too, none twice."""
+    monkeypatch.setattr(quality, "PER_ROUND", 1_000)
+    rows = [(i if i % 3 else None, f"word{i} text", "en", "s") for i in range(300)] * 2
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    known = spark.createDataFrame([(str(i), 1) for i in range(0, 300, 10)], "id string, quality int")
+
+    class Sure:
+        def logits(self, views):
+            return np.column_stack([np.full(len(views), 9.0), np.zeros(len(views))])
+
+    taught = quality.sure_of(quality.features(docs), known, Sure(), 0)
+    labelled = sum(1 for i in range(0, 300, 10) if i % 3)
+    assert len(taught["text"][1]) == 300 - labelled and taught["text"][1].all() and not len(taught["meta"][1])
+
+
+def test_content_shares():
+    text = ("Ab cab " * 40).encode()
+    got = quality.content_shares(text, text.lower().split())
+    low = text.lower()
+    grams = Counter((int.from_bytes(low[i:i + 4], "big") * 2_654_435_761 % 2**64 >> 20) % 128 for i in range(len(low) - 3))
+    want = [np.sqrt(grams[b] / (len(low) - 3)) for b in range(128)]
+    assert np.allclose(got[128:], want) and np.isclose((got[:128] ** 2).sum(), 1)
 
 
 def test_pii_patterns(spark, odd):
