@@ -95,17 +95,21 @@ def mix(
     are interchangeable and stay in one group.  Empty table: no rows.
     """
     sized = materialize(sizes(docs), "mix-sizes")
-    plan = targets(sized, weights, max_epochs).select(F.col("source").alias("_source"), "source_size", "n_docs", "target")
+    # Rows of sources are written, so that Spark knows their size: a small table is sent to all, only a large one is joined by key.
+    plan = materialize(
+        targets(sized, weights, max_epochs).select(F.col("source").alias("_source"), "source_size", "n_docs", "target"),
+        "mix-targets",
+    )
     rate = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)
     joined = sized.join(plan, F.col("source").eqNullSafe(F.col("_source"))).select(
         "_source", "doc_id", "source", "size", "lot", "source_size", "n_docs", "target",
         F.floor(rate).alias("repeats"), (rate - F.floor(rate)).alias("part"),
         (F.col("size") * F.col("n_docs") > LONG * F.col("source_size")).alias("long"),
     ).withColumn("drawn", F.col("long") & (_fraction(F.col("lot"), 13) < F.col("part")))
-    others = joined.groupBy(F.col("_source").alias("_of")).agg(
+    others = materialize(joined.groupBy(F.col("_source").alias("_of")).agg(
         F.sum(F.when(F.col("drawn"), F.col("size")).otherwise(0)).alias("drawn_size"),
         F.sum(F.when(F.col("long"), 0).otherwise(F.col("size"))).alias("other_size"),
-    )
+    ), "mix-drawn")
     missing = F.col("part") * F.col("source_size") - F.col("drawn_size")
     share_of_others = F.when(
         F.col("other_size") > 0, F.least(F.lit(1.0), F.greatest(F.lit(0.0), missing / F.col("other_size")))
