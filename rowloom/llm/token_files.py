@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from array import array
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from functools import lru_cache
 
 import numpy as np
@@ -40,8 +40,7 @@ def pack(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     escapes = values[large]
     # Ids of 32 bits, the usual case, are compared as such.
     compared = values.astype(np.uint32) if n and values.max() < 1 << 32 else values
-    jump = np.ones(n, np.int64)
-    chosen = np.zeros(n, np.int64)
+    chosen = np.zeros(n, np.uint8)
     misfits = np.zeros(n + max(COUNTS) + 1, np.int32)
     for selector in range(len(COUNTS) - 1, 0, -1):
         count, width = COUNTS[selector], WIDTHS[selector]
@@ -53,9 +52,8 @@ def pack(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
             continue
         np.cumsum(wide, out=misfits[1:n + 1])
         misfits[n + 1:] = misfits[n]
-        fits = misfits[count:count + n] == misfits[:n]
-        jump[fits], chosen[fits] = count, selector
-    places, at, jumps = [], 0, jump.tolist()
+        np.copyto(chosen, selector, where=misfits[count:count + n] == misfits[:n])
+    places, at, jumps = [], 0, np.array(COUNTS, np.uint8)[chosen].tolist()
     while at < n:
         places.append(at)
         at += jumps[at]
@@ -114,8 +112,9 @@ class Encoder:
         plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
         spare = iter(range(256, 512))
         self.letters = {b: chr(b) if b in plain else chr(next(spare)) for b in range(256)}
-        self.cache: dict[str, bytes | None] = {}
-        self.older: dict[str, bytes | None] = {}
+        self.cache: dict[str, bytes | bool] = {}
+        self.older: dict[str, bytes | bool] = {}
+        self.parts: dict[str, bytes] = {}
         self.marks = {mark: self.word(mark) for mark in ".,;:"}
 
     def word(self, word: str) -> bytes:
@@ -127,29 +126,38 @@ class Encoder:
             letters = word.encode().decode("latin-1").translate(self.letters)
         return array("I", [token.id for token in self.model.tokenize(letters)]).tobytes()
 
-    def remember(self, chunks: set[str]) -> None:
-        """Ids of the given chunks with a space before them; None where unsafe.
+    def part(self, word: str) -> bytes:
+        """Ids of a word that is part of a chunk; such words come again in other chunks."""
+        ids = self.cache.get(word[1:]) if word[0] == " " and word[1:].isalpha() else self.parts.get(word)
+        if ids is None:
+            ids = self.parts[word] = self.parts.get(word) or self.word(word)
+        return ids
+
+    def remember(self, chunks: Iterable[str]) -> None:
+        """Ids of the given chunks with a space before them; False where unsafe.
 
         Chunks of letters, alone or with a mark after them, need no pattern.
         """
-        cache, older, marks = self.cache, self.older, self.marks
+        cache, older, marks, tokenize, space = self.cache, self.older, self.marks, self.model.tokenize, self.letters[32]
         for chunk in chunks:
             if chunk in cache:
                 continue
             if chunk in older:
                 cache[chunk] = older[chunk]
-                continue
-            if chunk.isalpha():
-                cache[chunk] = self.word(" " + chunk)
+            elif chunk.isalpha():
+                if chunk.isascii():
+                    cache[chunk] = array("I", [token.id for token in tokenize(space + chunk)]).tobytes()
+                else:
+                    cache[chunk] = self.word(" " + chunk)
             elif not chunk or chunk[0].isspace():
-                cache[chunk] = None
+                cache[chunk] = False
             elif chunk[-1] in marks and chunk[:-1].isalpha():
                 core = chunk[:-1]
                 if core not in cache:
                     cache[core] = self.word(" " + core)
                 cache[chunk] = cache[core] + marks[chunk[-1]]
             else:
-                cache[chunk] = b"".join(map(self.word, self.words(" " + chunk)))
+                cache[chunk] = b"".join(map(self.part, self.words(" " + chunk)))
 
     def encode_whole(self, text: str) -> bytes:
         return np.array(self.whole.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
@@ -158,16 +166,22 @@ class Encoder:
         if len(self.cache) > CACHE_CHUNKS:
             # What was used since the last change stays, what was not goes.
             self.cache, self.older = {}, self.cache
-        split = [text.split(" ") for text in texts]
-        self.remember(set().union(*(own[1:] for own in split)).difference(self.cache))
-        out = []
-        for text, own in zip(texts, split):
+        if len(self.parts) > CACHE_CHUNKS:
+            self.parts = {}
+        known, out = self.cache.get, []
+        for text in texts:
             if any(mark in text for mark in self.special):
                 out.append(self.encode_whole(text))
                 continue
+            first, *rest = text.split(" ")
+            found = list(map(known, rest))
+            if None in found:
+                missing = [at for at, ids in enumerate(found) if ids is None]
+                self.remember([rest[at] for at in missing])
+                for at in missing:
+                    found[at] = known(rest[at])
             try:
-                ids = b"".join(map(self.cache.__getitem__, own[1:]))
-                out.append(self.encode_whole(own[0]) + ids)
+                out.append(self.encode_whole(first) + b"".join(found))
             except TypeError:  # a chunk is unsafe
                 out.append(self.encode_whole(text))
         return out

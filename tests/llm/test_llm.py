@@ -466,3 +466,14 @@ def test_pipeline(spark):
         assert kept.columns == docs.columns, name
         docs = kept
     assert corpus_pipeline.run(spark, SF_DIR).count() > 0
+
+
+def test_parts_of_chunks_are_encoded_once():
+    """Words inside a chunk, such as the runs of a hexadecimal number, are remembered like chunks are."""
+    from rowloom.llm import token_files
+    from rowloom.llm.queries import tokenizer_path
+
+    encode = token_files.Encoder(tokenizer_path())
+    texts = ["a 12ab34 éé%%% word%%%", "x (12ab56) word %%%b  c", "y 34ab12,ab \nz"]
+    assert encode(texts) == [encode.encode_whole(t) for t in texts]
+    assert {"12", "ab", "34", "%%%"} <= {w.strip() for w in encode.parts}
