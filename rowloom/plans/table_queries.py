@@ -36,6 +36,7 @@ from rowloom.sources.render import (
     record,
     schema_document,
     write_document,
+    write_files,
     write_records,
 )
 from rowloom.streaming import ingest
@@ -348,10 +349,11 @@ def events_stream(spark: SparkSession, sf: str) -> DataFrame:
 def _ingested(spark: SparkSession, landing: str, app: str, document: str) -> tuple[DataFrame, DataFrame]:
     """Rows and dead letters of a landing directory; only completeness is checked."""
     out, letters, state = (scratch_path(spark, name) for name in ("stream", "dead-letters", "state"))
-    ingest.ingest(
-        ingest.landed_chunks(spark, landing), app, literal_catalog(spark, {app: document}),
-        PackageConfig(landing, check_contents=False), path=out, dead_letters=letters, checkpoint=state, broadcast=True,
-    ).awaitTermination()
+    with ingest.few_listing_tasks(spark):
+        ingest.ingest(
+            ingest.landed_chunks(spark, landing), app, literal_catalog(spark, {app: document}),
+            PackageConfig(landing, check_contents=False), path=out, dead_letters=letters, checkpoint=state, broadcast=True,
+        ).awaitTermination()
     return spark.read.parquet(out), spark.read.parquet(letters)
 
 
@@ -367,13 +369,19 @@ def truncated_records(spark: SparkSession, sf: str) -> DataFrame:
         .otherwise(F.concat("content", lit("<!-- end of file -->")))
     )
     landing = scratch_path(spark, "landing")
-    files = table(spark, sf, "customer").groupBy(number.alias("number")).agg(whole.alias("content"))
-    files.select(cut.alias("value"), col("number").alias("file")).write.partitionBy("file").text(landing)
+    customers = spark.read.parquet(f"{sf}/customer.parquet").withColumn("number", number)
+    dealt = customers.repartition(4 * spark.sparkContext.defaultParallelism, "number")
+    files = dealt.groupBy("number").agg(whole.alias("content"))
+    write_files(files.select(cut.alias("value")), landing)
     rows, letters = _ingested(spark, landing, "CUSTOMER", CUSTOMER_SCHEMA)
-    file = F.regexp_extract("source_file", "/file=([0-9]+)/", 1).cast("bigint").alias("file")
-    return rows.select(file, "record_id", "resolved_position", "value").unionByName(
-        letters.select(file, lit(None).cast("string").alias("record_id"), lit("refused").alias("resolved_position"), col("reason").alias("value"))
+    first = F.regexp_extract("value", "<c1>([0-9]+)<", 1).cast("bigint")
+    landed = spark.read.text(landing).groupBy(records.local_path(col("_metadata.file_path")).alias("source_file")).agg(
+        F.min(F.floor(first / FIELDS_PER_DOCUMENT)).cast("bigint").alias("file")
     )
+    found = rows.select("source_file", "record_id", "resolved_position", "value").unionByName(letters.select(
+        "source_file", lit(None).cast("string").alias("record_id"), lit("refused").alias("resolved_position"), col("reason").alias("value")
+    ))
+    return found.join(landed, "source_file", "left").select("file", "record_id", "resolved_position", "value")
 
 
 # --- metadata rendered from tables -------------------------------------------- #

@@ -54,6 +54,15 @@ def write_records(records: DataFrame, record: str, path: str) -> None:
     records.select(F.col(record).alias("value")).write.mode("overwrite").text(path)
 
 
+def write_files(contents: DataFrame, path: str) -> None:
+    """Write each text of a one-column table as a file of its own, all in one directory.
+
+    Tasks move their files into place themselves; else the driver would move them one by one at the end.
+    """
+    writer = contents.write.mode("overwrite").option("maxRecordsPerFile", 1)
+    writer.option("mapreduce.fileoutputcommitter.algorithm.version", 2).text(path)
+
+
 def write_document(spark: SparkSession, text: str, path: str) -> None:
     """Write one small document; the directory ends up holding one text file."""
     spark.createDataFrame([(text,)], "value STRING").coalesce(1).write.mode("overwrite").text(path)

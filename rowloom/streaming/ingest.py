@@ -8,6 +8,8 @@ when a batch is repeated, so a restart neither loses nor doubles a file.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -22,6 +24,7 @@ from rowloom.plans.scratch import materialize
 from rowloom.sources import records, structure
 
 BATCH = "batch_id"
+LISTING_TASKS = "spark.sql.sources.parallelPartitionDiscovery.parallelism"
 DEAD_LETTER = "app_name STRING, source_file STRING, file_size BIGINT, reason STRING"
 
 
@@ -111,6 +114,20 @@ def sort_out(
     return reduce(DataFrame.unionByName, parts), bad
 
 
+@contextmanager
+def few_listing_tasks(spark: SparkSession) -> Iterator[None]:
+    """Files of a batch are looked up by a few tasks a core, not by one task for each file.
+
+    A stream reads this setting of its session at each batch, so it has to hold for as long as the stream runs.
+    """
+    before = spark.conf.get(LISTING_TASKS)
+    spark.conf.set(LISTING_TASKS, str(min(int(before), 4 * spark.sparkContext.defaultParallelism)))
+    try:
+        yield
+    finally:
+        spark.conf.set(LISTING_TASKS, before)
+
+
 def ingest(
     landed: DataFrame, app_name: str, catalog: DataFrame, config: PackageConfig, *, path: str, dead_letters: str,
     checkpoint: str, broadcast: bool, end_tag: str = records.DEFAULT_END, available_now: bool = True,

@@ -8,6 +8,8 @@ from packages import CLIENT_DATA, client_package, write
 
 from rowloom.config import PackageConfig
 from rowloom.plans.run import Normalization
+from rowloom.plans.scratch import scratch_root
+from rowloom.plans.table_queries import QUERIES
 from rowloom.streaming import ingest
 
 HALF = "<D><row><c1>whole</c1></row><row><c1>half</c1><c2>lost"
@@ -70,3 +72,21 @@ def test_a_repeated_batch_replaces_itself(tmp_path, stream):
         os.remove(path)
     rows, letters = stream(False, per_batch=2)
     assert sorted(map(str, rows)) == sorted(map(str, before[0])) and letters == before[1]
+
+
+def test_many_small_files_land_in_one_directory(spark):
+    root = scratch_root(spark)
+    before = set(glob.glob(f"{root}/rowloom-landing-*"))
+    tasks = spark.conf.get(ingest.LISTING_TASKS)
+    rows = QUERIES["truncated_records"](spark, "/root/testdata/sf0.001").collect()
+    (landing,) = set(glob.glob(f"{root}/rowloom-landing-*")) - before
+    assert not [p for p in glob.glob(f"{landing}/*") if os.path.isdir(p)]
+    files = [p for p in glob.glob(f"{landing}/part-*") if os.path.getsize(p)]
+    assert len(files) == len({r.file for r in rows})
+    assert None not in {r.file for r in rows}
+    assert spark.conf.get(ingest.LISTING_TASKS) == tasks
+
+
+def test_streams_list_files_in_few_tasks(spark):
+    with ingest.few_listing_tasks(spark):
+        assert int(spark.conf.get(ingest.LISTING_TASKS)) <= 4 * spark.sparkContext.defaultParallelism
