@@ -35,10 +35,11 @@ _TOKENS = r"(?s)<!--.*?-->|<!\[CDATA\[.*?\]\]>|<\?.*?\?>|<[^<]*|[^<]+"
 CELL = "\x02"
 FIELD = "\x01"
 
-_INDEX = r"=(\"[^\"<>&\n\t]*)\""
+# Possessive: what follows a run is never part of it, so nothing is gained by going back.
+_INDEX = r"=(\"[^\"<>&\n\t]*+)\""
 _PLAIN_CELL = (
-    rf"<({_PREFIX}[cC]([0-9]+))(?:\s+m{_INDEX})?(?:\s+s{_INDEX})?\s*"
-    r"(?:/>|>([^<]*)</\1\s*>)"
+    rf"<((?:{_NAME}+:)?+[cC]([0-9]++))(?:\s++m{_INDEX})?(?:\s++s{_INDEX})?\s*+"
+    r"(?:/>|>([^<]*+)</\1\s*+>)"
 )
 _PACKED_CELL = f"{CELL}$2{FIELD}$3{FIELD}$4{FIELD}$5{FIELD}"
 

@@ -45,7 +45,7 @@ def in_local_ref_array(bases: tuple[str, ...]) -> Column:
 
 def resolved_position(bases: tuple[str, ...]) -> Column:
     return F.when(
-        in_local_ref_array(bases), F.concat_ws(".", "raw_position", "mv_index")
+        in_local_ref_array(bases), F.concat("raw_position", F.lit("."), "mv_index")
     ).otherwise(F.col("raw_position"))
 
 
@@ -112,15 +112,13 @@ def attach_catalog(cells: DataFrame, catalog: DataFrame, broadcast: bool) -> Dat
 def warning_text(mapped: Column, bases: tuple[str, ...]) -> Column:
     """The warning codes joined by commas, null when there are none."""
     sub_without_multi = _filled(F.col("sv_index")) & ~_filled(F.col("mv_index"))
-    return F.nullif(
-        F.concat_ws(
-            ",",
-            F.when(~mapped, F.lit(UNMAPPED)),
-            F.when(~mapped & in_local_ref_array(bases), F.lit(LOCAL_REF_UNMAPPED)),
-            F.when(sub_without_multi, F.lit(SUB_WITHOUT_MULTI)),
-        ),
-        F.lit(""),
+    codes = F.concat_ws(
+        ",",
+        F.when(~mapped, F.lit(UNMAPPED)),
+        F.when(~mapped & in_local_ref_array(bases), F.lit(LOCAL_REF_UNMAPPED)),
+        F.when(sub_without_multi, F.lit(SUB_WITHOUT_MULTI)),
     )
+    return F.when(~mapped | sub_without_multi, codes)
 
 
 def normalize(

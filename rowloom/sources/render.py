@@ -16,14 +16,18 @@ from rowloom.operators.metadata import SCHEMA_COLUMNS
 
 
 def cell(position: str, value: Column, m: Column | str | None = None,
-         s: Column | str | None = None) -> Column:
-    """``<cN m= s=>value</cN>``; a null value renders as an empty element."""
+         s: Column | str | None = None, plain: bool = False) -> Column:
+    """``<cN m= s=>value</cN>``; a null value renders as an empty element.
+
+    ``plain``: the value is a number, a date or the like, in which nothing has to be escaped.
+    """
     parts = [F.lit(f"<c{position}")]
     for name, index in (("m", m), ("s", s)):
         if index is not None:
             text = F.lit(index) if isinstance(index, str) else index.cast("string")
             parts += [F.lit(f' {name}="'), text, F.lit('"')]
-    text = escape(F.coalesce(value.cast("string"), F.lit("")))
+    text = F.coalesce(value.cast("string"), F.lit(""))
+    text = text if plain else escape(text)
     return F.concat(*parts, F.lit(">"), text, F.lit(f"</c{position}>"))
 
 
@@ -36,7 +40,11 @@ def money(value: Column) -> Column:
 
 
 def day(value: Column) -> Column:
-    return F.date_format(value, "yyyyMMdd")
+    """``yyyyMMdd``; of years from 1 on, the digits of the date as text, which take no formatter."""
+    date = value.cast("date")
+    return F.when(date >= F.lit("0001-01-01").cast("date"), F.replace(date.cast("string"), F.lit("-"), F.lit(""))).otherwise(
+        F.date_format(value, "yyyyMMdd")
+    )
 
 
 def schema_document(columns: dict[str, Sequence[str]]) -> str:

@@ -44,3 +44,8 @@ def test_query_matches_sql(spark, duck, name):
 
 def test_entry(spark):
     assert contract.entry(spark).count() > 0
+
+
+def test_order_lines_are_not_dealt_out_before_their_join(spark):
+    plan = QUERIES["normalize_orders_multivalue"](spark, SF_DIR)._jdf.queryExecution().toString()
+    assert "RoundRobin" not in plan
