@@ -166,14 +166,21 @@ def pack(body: Column, plain: Column) -> Column:
     return F.when(incomplete, _pack_parsed(body)).otherwise(plain)
 
 
-def packed_cells(packed: Column) -> Column:
-    """The packed cells; the first entry is the loose text before any cell."""
-    return F.split(packed, CELL)
+def packed_fields(packed: Column) -> Column:
+    """The fields of all packed cells in one array, four each, and the loose text after the last cell."""
+    return F.split(packed, FIELD)
 
 
-def cell_fields(cell: Column) -> Column:
-    """Position, m, s and text of a packed cell."""
-    return F.split(cell, FIELD)
+def cell_numbers(fields: Column) -> Column:
+    """1 to the number of cells in an array of fields; null if there is none."""
+    n = F.floor((F.size(fields) - 1) / 4).cast("int")
+    return F.when(n > 0, F.sequence(F.lit(1), n))
+
+
+def cell_fields(fields: Column, number: Column) -> list[Column]:
+    """Position, m, s and text of a cell; loose text before it stands in front of its position."""
+    own = [F.get(fields, 4 * number - back) for back in (4, 3, 2, 1)]
+    return [F.substring_index(own[0], CELL, -1), *own[1:]]
 
 
 def index_value(raw: Column) -> Column:
@@ -182,9 +189,14 @@ def index_value(raw: Column) -> Column:
 
 
 def first_text(packed: Column, position: str) -> Column:
-    """``FIELD`` and text of the first cell with exactly this position, or ``''``."""
-    return F.regexp_extract(
+    """``FIELD`` and text of the first cell with exactly this position, or ``''``.
+
+    Mostly that is the first cell, which is cut out without a pattern.
+    """
+    found = F.regexp_extract(
         packed,
         f"{CELL}{position}{FIELD}[^{FIELD}]*{FIELD}[^{FIELD}]*({FIELD}[^{FIELD}]*)",
         1,
     )
+    first = F.substring_index(F.substring_index(packed, FIELD, 4), FIELD, -1)
+    return F.when(packed.startswith(f"{CELL}{position}{FIELD}"), F.concat(F.lit(FIELD), first)).otherwise(found)

@@ -50,15 +50,13 @@ def cells(
     once per cell, and the generated code stays small enough to be compiled.
     """
     keep = [*(c for c in records.columns if c != body), "record_id", "ord"]
-    exploded = packed_records(records, body, record_id).select(
-        *keep[:-1], F.posexplode(xml.packed_cells(F.col("packed"))).alias("ord", "cell")
-    )
-    split = exploded.filter(F.col("ord") > 0).select(
-        *keep, xml.cell_fields(F.col("cell")).alias("fields")
+    split = packed_records(records, body, record_id).select(
+        *keep[:-1], xml.packed_fields(F.col("packed")).alias("fields")
     )
+    exploded = split.select(*keep[:-1], "fields", F.explode(xml.cell_numbers(F.col("fields"))).alias("ord"))
     names = ("raw_position", "m", "s", "text")
-    raw = split.select(
-        *keep, *(F.get("fields", F.lit(i)).alias(name) for i, name in enumerate(names))
+    raw = exploded.select(
+        *keep, *(f.alias(name) for name, f in zip(names, xml.cell_fields(F.col("fields"), F.col("ord"))))
     )
     plain = raw.select(
         *keep, "raw_position", "m", "s", xml.unescape(F.col("text")).alias("text")

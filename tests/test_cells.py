@@ -175,3 +175,13 @@ def test_same_cells_as_the_native_reader(spark, tmp_path):
     assert sorted(wanted, key=str) == sorted(
         ours.select("xml_element", "mv_index", "value").collect(), key=str
     )
+
+
+def test_a_record_is_cut_into_fields_once(spark):
+    texts = ['<row> a <c2>x</c2> b <c1 m="1" s="2">k</c1> tail</row>', "<row>none</row>", "<row><c1/><c3>y</c3></row>"]
+    assert parse(spark, *texts) == expected(*texts)
+    table = spark.createDataFrame([(0, texts[0])], "id INT, rec STRING")
+    found = cells(records.from_table(table, "rec", "id"))
+    assert found.orderBy("ord").first().record_id == "k"
+    assert found._jdf.queryExecution().optimizedPlan().toString().count("split(packed") == 1
+    assert "split(cell" not in found._jdf.queryExecution().optimizedPlan().toString()
