@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from array import array
-from collections.abc import Callable, Iterable, Iterator
+from collections.abc import Callable, Iterator
 from functools import lru_cache
 
 import numpy as np
@@ -93,6 +93,18 @@ def unpack(words: np.ndarray, escapes: np.ndarray, n: int) -> np.ndarray:
 WORD_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
 
+class Remembered(dict):
+    """Ids of chunks, made by ``make`` when they are first asked for."""
+
+    def __init__(self, make: Callable[[str], bytes | bool]):
+        super().__init__()
+        self.make = make
+
+    def __missing__(self, chunk: str) -> bytes | bool:
+        ids = self[chunk] = self.make(chunk)
+        return ids
+
+
 class Encoder:
     """Ids of texts as little-endian 32-bit bytes, remembering those of space-separated chunks.
 
@@ -112,7 +124,7 @@ class Encoder:
         plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
         spare = iter(range(256, 512))
         self.letters = {b: chr(b) if b in plain else chr(next(spare)) for b in range(256)}
-        self.cache: dict[str, bytes | bool] = {}
+        self.cache = Remembered(self.chunk)
         self.older: dict[str, bytes | bool] = {}
         self.parts: dict[str, bytes] = {}
         self.marks = {mark: self.word(mark) for mark in ".,;:"}
@@ -133,31 +145,23 @@ class Encoder:
             ids = self.parts[word] = self.parts.get(word) or self.word(word)
         return ids
 
-    def remember(self, chunks: Iterable[str]) -> None:
-        """Ids of the given chunks with a space before them; False where unsafe.
+    def chunk(self, chunk: str) -> bytes | bool:
+        """Ids of a chunk with a space before it; False where unsafe.
 
         Chunks of letters, alone or with a mark after them, need no pattern.
         """
-        cache, older, marks, tokenize, space = self.cache, self.older, self.marks, self.model.tokenize, self.letters[32]
-        for chunk in chunks:
-            if chunk in cache:
-                continue
-            if chunk in older:
-                cache[chunk] = older[chunk]
-            elif chunk.isalpha():
-                if chunk.isascii():
-                    cache[chunk] = array("I", [token.id for token in tokenize(space + chunk)]).tobytes()
-                else:
-                    cache[chunk] = self.word(" " + chunk)
-            elif not chunk or chunk[0].isspace():
-                cache[chunk] = False
-            elif chunk[-1] in marks and chunk[:-1].isalpha():
-                core = chunk[:-1]
-                if core not in cache:
-                    cache[core] = self.word(" " + core)
-                cache[chunk] = cache[core] + marks[chunk[-1]]
-            else:
-                cache[chunk] = b"".join(map(self.part, self.words(" " + chunk)))
+        ids = self.older.get(chunk)
+        if ids is not None:
+            return ids
+        if chunk.isalpha():
+            if chunk.isascii():
+                return array("I", [token.id for token in self.model.tokenize(self.letters[32] + chunk)]).tobytes()
+            return self.word(" " + chunk)
+        if not chunk or chunk[0].isspace():
+            return False
+        if chunk[-1] in self.marks and chunk[:-1].isalpha():
+            return self.cache[chunk[:-1]] + self.marks[chunk[-1]]
+        return b"".join(map(self.part, self.words(" " + chunk)))
 
     def encode_whole(self, text: str) -> bytes:
         return np.array(self.whole.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
@@ -165,23 +169,17 @@ class Encoder:
     def __call__(self, texts: list[str]) -> list[bytes]:
         if len(self.cache) > CACHE_CHUNKS:
             # What was used since the last change stays, what was not goes.
-            self.cache, self.older = {}, self.cache
+            self.cache, self.older = Remembered(self.chunk), self.cache
         if len(self.parts) > CACHE_CHUNKS:
             self.parts = {}
-        known, out = self.cache.get, []
+        known, out = self.cache.__getitem__, []
         for text in texts:
             if any(mark in text for mark in self.special):
                 out.append(self.encode_whole(text))
                 continue
             first, *rest = text.split(" ")
-            found = list(map(known, rest))
-            if None in found:
-                missing = [at for at, ids in enumerate(found) if ids is None]
-                self.remember([rest[at] for at in missing])
-                for at in missing:
-                    found[at] = known(rest[at])
             try:
-                out.append(self.encode_whole(first) + b"".join(found))
+                out.append(self.encode_whole(first) + b"".join(map(known, rest)))
             except TypeError:  # a chunk is unsafe
                 out.append(self.encode_whole(text))
         return out

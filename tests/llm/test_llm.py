@@ -477,3 +477,10 @@ def test_parts_of_chunks_are_encoded_once():
     texts = ["a 12ab34 éé%%% word%%%", "x (12ab56) word %%%b  c", "y 34ab12,ab \nz"]
     assert encode(texts) == [encode.encode_whole(t) for t in texts]
     assert {"12", "ab", "34", "%%%"} <= {w.strip() for w in encode.parts}
+
+
+def test_chunks_are_made_once_and_looked_up_directly():
+    made = []
+    known = token_files.Remembered(lambda chunk: made.append(chunk) or chunk.encode())
+    assert b"".join(map(known.__getitem__, ["a", "b", "a"])) == b"aba"
+    assert made == ["a", "b"]
