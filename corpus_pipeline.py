@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from rowloom.llm import mixing, near_duplicates, phrase_index, quality, token_files
-from rowloom.llm.common import table
+from rowloom.llm.common import small_batches, table
 from rowloom.llm.queries import tokenizer_path
 from rowloom.plans.scratch import materialize, scratch_path
 
@@ -52,6 +52,7 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over ``documents``; each is written as Parquet and read again by the next."""
     docs = table(spark, sf_dir, "documents")
-    for name, stage in STAGES:
-        docs = materialize(stage(spark, docs, sf_dir), f"stage-{name.replace(' ', '-')}")
+    with small_batches(spark):
+        for name, stage in STAGES:
+            docs = materialize(stage(spark, docs, sf_dir), f"stage-{name.replace(' ', '-')}")
     return docs

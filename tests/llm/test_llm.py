@@ -14,7 +14,7 @@ from rowloom.llm import (
     gif_media, mixing, near_duplicates, phrase_index, pii, quality, queries, recurrent_lm,
     token_files, toxicity, url_rules,
 )
-from rowloom.llm.common import table, words
+from rowloom.llm.common import BATCH_ROWS, small_batches, table, words
 
 SF_DIR = "/root/testdata/sf0.001"
 DOCS = "doc_id long, text string, lang string, source string, n_chars long, size string, target int"
@@ -484,3 +484,11 @@ def test_chunks_are_made_once_and_looked_up_directly():
     known = token_files.Remembered(lambda chunk: made.append(chunk) or chunk.encode())
     assert b"".join(map(known.__getitem__, ["a", "b", "a"])) == b"aba"
     assert made == ["a", "b"]
+
+
+def test_small_batches_hold_inside_the_block_only(spark):
+    before = spark.conf.get(BATCH_ROWS)
+    with small_batches(spark, 100):
+        sizes = spark.range(1000).coalesce(1).mapInArrow(lambda bs: (b.slice(0, 1) for b in bs), "id long").count()
+        assert sizes == 10
+    assert spark.conf.get(BATCH_ROWS) == before
