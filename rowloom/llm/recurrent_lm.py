@@ -2,18 +2,19 @@
 
 from __future__ import annotations
 
+import heapq
 import pickle
-from collections import Counter
 from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext, cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rowloom.llm.common import pieces, remainder, words
+from rowloom.llm.common import pieces, remainder
 from rowloom.plans.scratch import materialize
 
 FOLDS, HELD_OUT = 5, 1
@@ -39,22 +40,30 @@ BLOCK = 4_096
 SEED = 5
 
 
-def _tally(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Counts of tokens, handed on whenever many have been gathered."""
-    def out(counts: Counter) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays(
-            [pa.array(list(counts), pa.binary()), pa.array(list(counts.values()), pa.int64())], names=["token", "c"]
-        )
+def _tokens(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """Words of all texts as ``common.words`` cuts them, each text's followed by the end, and how many each text has.
 
-    counts: Counter = Counter()
-    for batch in pieces(batches, 256):
-        for text in batch.column(0).to_pylist():
-            counts.update(words(text))
-            counts[END] += 1
-        if len(counts) > 100_000:
-            yield out(counts)
-            counts = Counter()
-    yield out(counts)
+    Arrow's functions take about a third of the time of Python's, which made up a quarter of the whole job.
+    """
+    nothing, space = pa.scalar("", pa.large_string()), pa.scalar(" ", pa.large_string())
+    # Trimmed first: lower-casing a slice of a large batch was seen to give wrong texts (Arrow 23).
+    texts = pc.ascii_lower(pc.fill_null(pc.ascii_trim_whitespace(texts.cast(pa.large_string())), nothing))
+    # An empty word stands after the last space; nothing else makes one.
+    texts = pc.if_else(pc.equal(texts, nothing), nothing, pc.binary_join_element_wise(texts, space, nothing))
+    own = pc.ascii_split_whitespace(texts)
+    return own.flatten().cast(pa.large_binary()), pc.list_value_length(own).to_numpy().astype(np.int64)
+
+
+def _numbers(tokens: pa.Array, known: pa.Array) -> np.ndarray:
+    """Place of each token among the known ones; their number, if it is not one of them."""
+    return pc.index_in(tokens, value_set=known).fill_null(len(known)).to_numpy()
+
+
+def _tally(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Counts of tokens, handed on for each piece of a batch."""
+    for batch in pieces(batches, DOCUMENTS):
+        token, c = pc.value_counts(_tokens(batch.column(0))[0]).flatten()
+        yield pa.RecordBatch.from_arrays([token.cast(pa.binary()), c], names=["token", "c"])
 
 
 def token_counts(training: DataFrame) -> DataFrame:
@@ -113,7 +122,7 @@ class Network:
 
     def step(self, x: np.ndarray, h: np.ndarray) -> tuple[np.ndarray, ...]:
         """The state after each row of ``h``, and what its gradient needs."""
-        return tuple(part.T for part in _cell(x.T, h.T, self.p["u"].T))
+        return _cell(_by_gate(x), h, _by_gate(self.p["u"]))
 
     def log_probabilities(self, h: np.ndarray, targets: np.ndarray) -> np.ndarray:
         """Natural log-probability of each target after the state in the same row."""
@@ -171,17 +180,14 @@ class Network:
         and the state begins anew after each end, as it does in scoring.
         """
         p, (lanes, steps) = self.p, (len(tokens), tokens.shape[1] - 1)
-        table, ut = p["emb"] @ p["w"] + p["b"], np.ascontiguousarray(p["u"].T)
+        table, u = p["emb"] @ p["w"] + p["b"], _by_gate(p["u"])
         given, targets = tokens[:, :-1].T.ravel(), tokens[:, 1:].T.ravel()
-        # Units are rows and lanes are columns: gates are then slices without gaps.
-        columns = np.ascontiguousarray(table.T)
-        going = np.ones(len(given), h.dtype) if used is None else (given != 0).astype(h.dtype)
-        going, h = going.reshape(steps, lanes), np.ascontiguousarray(h.T)
+        inputs, ends = _by_gate(table), np.zeros((steps, lanes), bool) if used is None else (given == 0).reshape(steps, lanes)
         kept, states = [], np.empty((steps, *h.shape), h.dtype)
         for k in range(steps):
-            h = h * going[k]
-            states[k], *own = _cell(columns.take(given[k * lanes:(k + 1) * lanes], axis=1), h, ut)
-            kept.append((h, *own))
+            h = _begun(h, ends[k])
+            x = inputs.take(given[k * lanes:(k + 1) * lanes], axis=1)
+            kept.append((h, *_cell(x, h, u, states[k])[1:]))
             h = states[k]
         counted = np.ones(len(targets), h.dtype) if used is None else used.T.ravel().astype(h.dtype)
         scale = counted / max(1.0, float(counted.sum()))
@@ -191,100 +197,127 @@ class Network:
         at, wct = np.arange(lanes), np.ascontiguousarray(p["wc"].T)
         for k in range(steps):
             now = slice(k * lanes, (k + 1) * lanes)
-            error = _softmax(wct @ states[k] + p["bc"][:, None])
+            error = _softmax(wct @ states[k].T + p["bc"][:, None])
             error[own[now], at] -= 1
             error *= scale[now]
-            g["wc"] += states[k] @ error.T
+            g["wc"] += states[k].T @ error.T
             g["bc"] += error.sum(axis=1)
-            dout[k] = p["wc"] @ error
-        # Columns in order of the target's class, so that each class is a slice of them.
+            np.matmul(error.T, wct, out=dout[k])
+        # Rows in order of the target's class, so that each class is a slice of them; the last class has no words to tell apart.
         order = np.argsort(own.astype(np.int16), kind="stable")
-        turned = states.transpose(1, 0, 2).reshape(len(h), -1).take(order, axis=1)
-        words, scale, more = targets[order], scale[order], np.zeros_like(turned)
         cuts = np.searchsorted(own[order], np.arange(len(self.bounds)))
+        order = order[:cuts[-1]]
+        turned = states.reshape(-1, h.shape[1]).take(order, axis=0)
+        words, scale, more = targets[order], scale[order], np.empty_like(turned)
         for k, (low, high) in enumerate(zip(self.bounds, self.bounds[1:])):
             rows = slice(cuts[k], cuts[k + 1])
             if rows.stop > rows.start:
                 wwt = np.ascontiguousarray(p["ww"][:, low:high].T)
-                error = _softmax(wwt @ turned[:, rows] + p["bw"][low:high, None])
+                error = _softmax(wwt @ turned[rows].T + p["bw"][low:high, None])
                 error[words[rows] - low, np.arange(rows.stop - rows.start)] -= 1
                 error *= scale[rows]
-                g["ww"][:, low:high], g["bw"][low:high] = turned[:, rows] @ error.T, error.sum(axis=1)
-                more[:, rows] = wwt.T @ error
-        back = np.empty_like(order)
-        back[order] = np.arange(len(order))
-        dout += more.take(back, axis=1).reshape(-1, steps, lanes).transpose(1, 0, 2)
-        dh, moved = np.zeros_like(h), np.empty((steps, 3 * HIDDEN, lanes), h.dtype)
+                g["ww"][:, low:high], g["bw"][low:high] = turned[rows].T @ error.T, error.sum(axis=1)
+                np.matmul(error.T, wwt, out=more[rows])
+        dout.reshape(-1, h.shape[1])[order] += more
+        dh, moved = np.zeros_like(h), np.empty((3, steps, *h.shape), h.dtype)
+        du, dhs, gu, ut = np.empty_like(moved[:, 0]), np.empty_like(moved[:, 0]), np.zeros_like(u), u.transpose(0, 2, 1)
         for k in range(steps - 1, -1, -1):
             before, z, r, n, hn = kept[k]
             dh += dout[k]
-            dz, dr, dn = np.split(moved[k], 3)
+            dz, dr, dn = moved[:, k]
             np.multiply(dh * (1 - z), 1 - n * n, out=dn)
             np.multiply(dh * (before - n), z * (1 - z), out=dz)
             np.multiply(dn * hn, r * (1 - r), out=dr)
-            du = moved[k].copy()
-            du[2 * HIDDEN:] *= r
-            g["u"] += before @ du.T
-            dh = (dh * z + p["u"] @ du) * going[k]
-        # Sums by token: columns in order of tokens, added up from each token's first.
+            du[:2] = moved[:2, k]
+            np.multiply(dn, r, out=du[2])
+            gu += before.T @ du
+            np.matmul(du, ut, out=dhs)
+            dh *= z
+            dh += dhs[0]
+            dh += dhs[1]
+            dh += dhs[2]
+            dh[ends[k]] = 0
+        g["u"] = gu.transpose(1, 0, 2).reshape(p["u"].shape)
+        # Sums by token: rows in order of tokens, added up from each token's first, two numbers at once.
         dtable = np.zeros_like(table)
         order = np.argsort(given.astype(np.uint16), kind="stable")
         present, first = np.unique(given[order], return_index=True)
-        turned = moved.transpose(1, 0, 2).reshape(3 * HIDDEN, -1).take(order, axis=1)
-        dtable[present] = np.add.reduceat(turned, first, axis=1).T
+        turned = moved.reshape(3, -1, h.shape[1]).take(order, axis=1)
+        sums = np.add.reduceat(turned.view(np.result_type(turned, np.complex64)), first, axis=1).view(turned.dtype)
+        dtable[present] = np.concatenate(sums, axis=1)
         g["emb"], g["w"], g["b"] = dtable @ p["w"].T, p["emb"].T @ dtable, dtable.sum(axis=0)
         size = np.sqrt(sum(float((v * v).sum()) for v in g.values()))
-        return {k: v * min(1.0, 1.0 / (size + 1e-9)) for k, v in g.items()}, h.T
+        return {k: v * min(1.0, 1.0 / (size + 1e-9)) for k, v in g.items()}, h
 
     def score(self, documents: list[np.ndarray]) -> np.ndarray:
         """Natural log-probability of each whole document; the state is carried from window to window.
 
-        Documents are taken in order of length, so that those still going on
-        are always the first rows.
+        Documents follow each other in at most ``GROUP`` lanes, the longest first, each in the lane that is
+        shortest so far; the state begins anew with each.  Lanes are in order of length,
+        so that those still going on are always the first rows.
         """
-        lengths = np.array([len(d) for d in documents])
-        order = np.argsort(-lengths, kind="stable")
-        total = np.zeros(len(documents))
-        table = (self.p["emb"] @ self.p["w"] + self.p["b"]).astype(np.float32)
-        table, ut = np.ascontiguousarray(table.T), np.ascontiguousarray(self.p["u"].T)
+        total, lengths = np.zeros(len(documents)), [len(d) for d in documents]
+        lanes = [(0, lane, []) for lane in range(min(GROUP, len(documents)))]
+        for k in sorted(range(len(documents)), key=lambda k: -lengths[k]):
+            n, lane, own = lanes[0]
+            own.append(k)
+            heapq.heapreplace(lanes, (n + lengths[k], lane, own))
+        lanes.sort(key=lambda lane: (-lane[0], lane[1]))
+        order = [k for *_, own in lanes for k in own]
+        if not order:
+            return total
+        # All lanes end to end: targets, whose they are, and what comes before each.
+        flat, owner = np.concatenate([documents[k] for k in order]), np.repeat(order, [lengths[k] for k in order])
         # Every document begins after the end of another.
-        h = np.zeros((HIDDEN, len(documents)), np.float32)
-        last = np.zeros(len(documents), np.int64)
-        sorted_lengths = lengths[order]
-        for start in range(0, int(lengths.max(initial=0)), WINDOW):
-            active = int(np.searchsorted(-sorted_lengths, -start))
-            steps = int(min(WINDOW, sorted_lengths[0] - start))
-            tokens = np.zeros((active, steps), np.int64)
-            for row in range(active):
-                own = documents[order[row]][start:start + steps]
-                tokens[row, :len(own)] = own
-            going = np.searchsorted(-sorted_lengths, -(start + np.arange(steps)))
-            states, targets, owners = [], [], []
-            for k in range(steps):
-                n = int(going[k])
-                h = _cell(table.take(last[:n], axis=1), h[:, :n], ut)[0]
-                last = tokens[:n, k]
-                states.append(h.T)
-                targets.append(last)
-                owners.append(order[:n])
-            gained = self.log_probabilities(np.concatenate(states), np.concatenate(targets))
-            total += np.bincount(np.concatenate(owners), gained, minlength=len(documents))
+        begun = np.append(True, owner[1:] != owner[:-1])
+        given = np.where(begun, 0, np.append(0, flat[:-1]))
+        size = np.array([n for n, *_ in lanes])
+        first = np.cumsum(size) - size
+        table, u = _by_gate((self.p["emb"] @ self.p["w"] + self.p["b"]).astype(np.float32)), _by_gate(self.p["u"])
+        h = np.zeros((len(lanes), HIDDEN), np.float32)
+        for start in range(0, int(size[0]), WINDOW):
+            going = np.searchsorted(-size, -np.arange(start, min(start + WINDOW, int(size[0]))))
+            at = np.concatenate([first[:n] + start + k for k, n in enumerate(going.tolist())])
+            before, new, states, low = given[at], begun[at], np.empty((len(at), HIDDEN), np.float32), 0
+            for n in going.tolist():
+                rows = slice(low, low + n)
+                h = _cell(table.take(before[rows], axis=1), _begun(h[:n], new[rows]), u, states[rows])[0]
+                low += n
+            total += np.bincount(owner[at], self.log_probabilities(states, flat[at]), minlength=len(total))
         return total
 
 
-def _cell(x: np.ndarray, h: np.ndarray, ut: np.ndarray) -> tuple[np.ndarray, ...]:
-    """One step of the gated unit for states in columns: the new state, both gates, the candidate and its own part."""
-    hu = ut @ h
-    gates = x[:2 * HIDDEN] + hu[:2 * HIDDEN]
+def _by_gate(rows: np.ndarray) -> np.ndarray:
+    """The parts of each row that belong to the three gates, each part an array without gaps."""
+    return np.ascontiguousarray(rows.reshape(len(rows), 3, -1).transpose(1, 0, 2))
+
+
+def _begun(h: np.ndarray, new: np.ndarray) -> np.ndarray:
+    """States with those set to nothing where a document begins."""
+    if new.any():
+        h = h.copy()
+        h[new] = 0
+    return h
+
+
+def _cell(x: np.ndarray, h: np.ndarray, u: np.ndarray, out: np.ndarray | None = None) -> tuple[np.ndarray, ...]:
+    """One step of the gated unit for states in rows, ``x`` and ``u`` by gate: the new state, both gates, the candidate and its own part."""
+    hu = h @ u
+    gates = x[:2] + hu[:2]
     np.negative(gates, out=gates)
     np.exp(gates, out=gates)
     gates += 1
     np.reciprocal(gates, out=gates)
-    z, r, hn = gates[:HIDDEN], gates[HIDDEN:], hu[2 * HIDDEN:]
+    (z, r), hn = gates, hu[2]
     n = r * hn
-    n += x[2 * HIDDEN:]
-    np.tanh(n, out=n)
-    new = h - n
+    n += x[2]
+    # The hyperbolic tangent; numpy takes less time for an exponential.
+    n *= -2
+    np.exp(n, out=n)
+    n += 1
+    np.divide(2, n, out=n)
+    n -= 1
+    new = np.subtract(h, n, out=out)
     new *= z
     new += n
     return new, z, r, n, hn
@@ -308,17 +341,15 @@ def _log_softmax_at(logits: np.ndarray, at: np.ndarray) -> np.ndarray:
 def _encode(shared) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     """Numbers of the tokens of each text with its end, and a seeded lot that differs from row to row."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        vocabulary = pickle.loads(shared.value)
-        index, other = {w: i for i, w in enumerate(vocabulary)}, len(vocabulary)
+        known = pa.array(pickle.loads(shared.value), pa.large_binary())
         draw = np.random.default_rng([SEED, TaskContext.get().partitionId()])
-        for batch in pieces(batches, 256):
-            out = []
-            for text in batch.column(0).to_pylist():
-                own = words(text)
-                own.append(END)
-                out.append(np.fromiter((index.get(w, other) for w in own), "<u2", len(own)).tobytes())
+        for batch in pieces(batches, DOCUMENTS):
+            tokens, n = _tokens(batch.column(0))
+            data = _numbers(tokens, known).astype("<u2")
+            ends = np.append(0, 2 * np.cumsum(n))
+            out = pa.Array.from_buffers(pa.large_binary(), len(n), [None, pa.py_buffer(ends), pa.py_buffer(data)])
             lots = draw.integers(0, 1 << 62, len(out))
-            yield pa.RecordBatch.from_arrays([pa.array(lots, pa.int64()), pa.array(out, pa.binary())], names=["lot", "tokens"])
+            yield pa.RecordBatch.from_arrays([pa.array(lots, pa.int64()), out.cast(pa.binary())], names=["lot", "tokens"])
 
     return run
 
@@ -415,10 +446,22 @@ PARTS = (
 )
 
 
+def _tails(tokens: pa.Array, sizes: np.ndarray, missing: np.ndarray) -> pa.Array:
+    """Of each text the different tokens among the missing ones, with how often it has them."""
+    own = tokens.take(pa.array(missing)).dictionary_encode()
+    several = max(1, len(own.dictionary))
+    rows = np.repeat(np.arange(len(sizes)), sizes)[missing]
+    pairs, times = np.unique(rows * several + own.indices.to_numpy(), return_counts=True)
+    rows, numbers = np.divmod(pairs, several)
+    words = own.dictionary.take(pa.array(numbers)).cast(pa.binary())
+    ends = pa.array(np.searchsorted(rows, np.arange(len(sizes) + 1)), pa.int32())
+    return pa.ListArray.from_arrays(ends, pa.StructArray.from_arrays([words, pa.array(times, pa.int32())], names=["token", "n"]))
+
+
 def _score(shared) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         head, network = pickle.loads(shared.value)
-        known = {w: i for i, w in enumerate(head.words)}
+        known, listed = {w: i for i, w in enumerate(head.words)}, pa.array(head.words, pa.large_binary())
         base = np.log10((np.append(head.counts, 0) + 0.5) / (head.tokens + 0.5 * (head.distinct + 1)))
         inside = np.full(len(head.words) + 1, network.size, np.int64)
         for token, word in enumerate(network.vocabulary):
@@ -431,26 +474,16 @@ def _score(shared) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBat
         within = np.where(inside == network.size, np.log10((np.append(head.counts, 0) + 0.5) / rest), 0.0)
         base[-1] = within[-1] = 0.0
         part, row, absent = TaskContext.get().partitionId(), 0, len(head.words)
-        item = pa.struct([("token", pa.binary()), ("n", pa.int32())])
         for batch in pieces(batches, DOCUMENTS):
-            texts = batch.column(1).to_pylist()
-            ids, tails = [], []
-            for text in texts:
-                own = words(text)
-                own.append(END)
-                found = np.fromiter((known.get(w, absent) for w in own), np.int64, len(own))
-                ids.append(found)
-                missing = np.flatnonzero(found == absent).tolist()
-                tails.append([{"token": w, "n": n} for w, n in Counter(own[k] for k in missing).items()])
-            natural = network.score([inside[own] for own in ids])
-            n = len(texts)
+            tokens, sizes = _tokens(batch.column(1))
+            found, n = _numbers(tokens, listed), len(sizes)
+            first = np.cumsum(sizes) - sizes
+            sums = lambda x: np.add.reduceat(x, first)
+            natural = network.score(np.split(inside[found], first[1:]))
             yield pa.RecordBatch.from_arrays([
                 pa.array([part] * n, pa.int32()), pa.array(range(row, row + n), pa.int64()), batch.column(0),
-                pa.array([len(own) for own in ids], pa.int64()),
-                pa.array([int((own != absent).sum()) for own in ids], pa.int64()),
-                pa.array([float(base[own].sum()) for own in ids], pa.float64()),
-                pa.array([float(x / np.log(10) + within[own].sum()) for x, own in zip(natural, ids)], pa.float64()),
-                pa.array(tails, pa.list_(item)),
+                pa.array(sizes), pa.array(sums((found != absent).astype(np.int64))), pa.array(sums(base[found])),
+                pa.array(natural / np.log(10) + sums(within[found])), _tails(tokens, sizes, np.flatnonzero(found == absent)),
             ], names=["part", "row", "doc_id", "n_tokens", "n_known", "base", "score", "tail"])
             row += n
 
