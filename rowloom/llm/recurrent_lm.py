@@ -43,7 +43,7 @@ SEED = 5
 def _tokens(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
     """Words of all texts as ``common.words`` cuts them, each text's followed by the end, and how many each text has.
 
-    Arrow's functions take about a third of the time of Python's, which made up a quarter of the whole job.
+    Arrow's functions take about a third of the time of Python's.
     """
     nothing, space = pa.scalar("", pa.large_string()), pa.scalar(" ", pa.large_string())
     # Trimmed first: lower-casing a slice of a large batch was seen to give wrong texts (Arrow 23).
