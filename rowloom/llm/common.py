@@ -52,12 +52,19 @@ def pieces(batches: Iterator[pa.RecordBatch], rows: int) -> Iterator[pa.RecordBa
     pa.default_memory_pool().release_unused()
 
 
+def limit_batches(spark: SparkSession, rows: int = 512) -> None:
+    """From now on rows go to Python in batches of at most ``rows``; 10,000 texts a batch, the usual number, fill
+    buffers that the executor and its workers keep for later tasks."""
+    before = int(spark.conf.get(BATCH_ROWS))
+    if not 0 < before <= rows:
+        spark.conf.set(BATCH_ROWS, str(rows))
+
+
 @contextmanager
 def small_batches(spark: SparkSession, rows: int = 512) -> Iterator[None]:
-    """Rows go to Python and back in batches of at most ``rows``; 10,000 texts a batch, the usual number, fill buffers
-    that the executor and its workers keep for later tasks.  Holds for what is written inside the block."""
+    """``limit_batches`` for what is written inside the block."""
     before = spark.conf.get(BATCH_ROWS)
-    spark.conf.set(BATCH_ROWS, str(min(rows, int(before)) if int(before) > 0 else rows))
+    limit_batches(spark, rows)
     try:
         yield
     finally:

@@ -110,13 +110,14 @@ class Encoder:
 
     A byte-level vocabulary never joins across a single space, so a
     text's ids are those of its chunks.  Texts where that may not hold (white
-    space after a space, special tokens) are encoded whole.
+    space after a space, special tokens) are encoded whole.  ``remembered`` chunks make a generation.
     """
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, remembered: int = CACHE_CHUNKS):
         import regex
         from tokenizers import Tokenizer
 
+        self.remembered = remembered
         self.whole = Tokenizer.from_file(path)
         self.model = self.whole.model
         self.special = [t.content for t in self.whole.get_added_tokens_decoder().values()]
@@ -167,10 +168,10 @@ class Encoder:
         return np.array(self.whole.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
     def __call__(self, texts: list[str]) -> list[bytes]:
-        if len(self.cache) > CACHE_CHUNKS:
+        if len(self.cache) > self.remembered:
             # What was used since the last change stays, what was not goes.
             self.cache, self.older = Remembered(self.chunk), self.cache
-        if len(self.parts) > CACHE_CHUNKS:
+        if len(self.parts) > self.remembered:
             self.parts = {}
         known, out = self.cache.__getitem__, []
         for text in texts:
@@ -186,9 +187,9 @@ class Encoder:
 
 
 @lru_cache(1)
-def encoder(path: str) -> Encoder:
+def encoder(path: str, remembered: int = CACHE_CHUNKS) -> Encoder:
     """The encoder of this Python worker; what it remembers serves its later tasks too."""
-    return Encoder(path)
+    return Encoder(path, remembered)
 
 
 BLOCK = (
@@ -196,9 +197,11 @@ BLOCK = (
 )
 
 
-def _blocks(path: str, end_id: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+def _blocks(
+    path: str, end_id: int, remembered: int
+) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode, part = encoder(path), TaskContext.get().partitionId()
+        encode, part = encoder(path, remembered), TaskContext.get().partitionId()
         end = np.array([end_id], "<u4").tobytes()
         first, n, doc_ids, counts, held = 0, 0, [], [], []
 
@@ -228,19 +231,22 @@ def _blocks(path: str, end_id: int) -> Callable[[Iterator[pa.RecordBatch]], Iter
     return run
 
 
-def write(docs: DataFrame, path: str, tokenizer: str, end_id: int = END_ID) -> None:
+def write(
+    docs: DataFrame, path: str, tokenizer: str, end_id: int = END_ID, remembered: int = CACHE_CHUNKS
+) -> None:
     """Encode every text, append ``end_id``, and write the ids in ascending document order.
 
     A file holds a range of documents as blocks; files follow each other in
     order of ``part``, blocks in order of ``first``, the ids before them in
     their file.  Null ids come first; rows with equal ids follow by text, and are
     spread over files by it.  Null texts count as empty: the end id only.
-    An empty table gives no blocks.
+    An empty table gives no blocks.  Of the chunks of text that a Python worker remembers, ``remembered`` make a
+    generation: fewer take less memory and more time, the ids are the same.
     """
     text = F.coalesce(F.col("text"), F.lit(""))
     keyed = docs.select("doc_id", text.alias("text"), F.xxhash64(text).alias("_tie"))
     ranged = keyed.repartitionByRange("doc_id", "_tie").sortWithinPartitions("doc_id", "_tie", "text")
-    ranged.select("doc_id", "text").mapInArrow(_blocks(tokenizer, end_id), BLOCK).write.parquet(path)
+    ranged.select("doc_id", "text").mapInArrow(_blocks(tokenizer, end_id, remembered), BLOCK).write.parquet(path)
 
 
 def _decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

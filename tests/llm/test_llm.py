@@ -539,3 +539,36 @@ def test_small_batches_hold_inside_the_block_only(spark):
         sizes = spark.range(1000).coalesce(1).mapInArrow(lambda bs: (b.slice(0, 1) for b in bs), "id long").count()
         assert sizes == 10
     assert spark.conf.get(BATCH_ROWS) == before
+
+
+def test_what_pipeline_stages_return_goes_to_python_in_small_batches(docs, spark, monkeypatch):
+    """The check and other callers write what a stage returns themselves, outside of ``run``."""
+    import corpus_pipeline
+
+    before = spark.conf.get(BATCH_ROWS)
+    sizes = lambda batches: (pa.RecordBatch.from_arrays([pa.array([b.num_rows])], names=["n"]) for b in batches)
+    rows = lambda *_: spark.range(0, 2000, 1, 1).mapInArrow(sizes, "n long")
+    monkeypatch.setattr(quality, "accepted_documents", rows)
+    monkeypatch.setattr(near_duplicates, "distinct_documents", rows)
+    monkeypatch.setattr(phrase_index, "clean_documents", rows)
+    monkeypatch.setattr(mixing, "mixed_documents", rows)
+    monkeypatch.setattr(token_files, "write", lambda *_, **__: None)
+    monkeypatch.setattr(token_files, "read", rows)
+    monkeypatch.setattr(token_files, "digest", rows)
+    try:
+        for _, stage in corpus_pipeline.STAGES:
+            spark.conf.set(BATCH_ROWS, before)
+            found = stage(spark, docs, SF_DIR)
+            assert [r["n"] for r in found.collect()] == [512, 512, 512, 464]
+    finally:
+        spark.conf.set(BATCH_ROWS, before)
+
+
+def test_an_encoder_that_remembers_little_gives_the_same_ids():
+    from rowloom.llm.queries import tokenizer_path
+
+    texts = [f"word{i % 300} other{i}, and {i * 7} more words." for i in range(2000)]
+    small, usual = token_files.Encoder(tokenizer_path(), 50), token_files.Encoder(tokenizer_path())
+    for start in range(0, len(texts), 20):
+        assert small(texts[start:start + 20]) == usual(texts[start:start + 20])
+        assert max(len(small.cache), len(small.older), len(small.parts)) < 50 + 20 * 10
