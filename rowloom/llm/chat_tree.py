@@ -15,7 +15,10 @@ import hashlib
 import re
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import groupby
+from operator import itemgetter
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -24,7 +27,12 @@ from rowloom.plans.scratch import materialize, scratch_path
 
 #: A pack ends after about so many characters; the turns that the next one still needs are emitted there again.
 PACK_CHARS = 1 << 18
+#: A pack also ends after so many conversations, as copies add no characters.
+PACK_CONVERSATIONS = 1 << 15
 KEY_BYTES = 16
+#: Spark's reader takes thousands of rows at once, but never more than a row group, and a pack is a row of
+#: about a megabyte.  So row groups are small, and their size is looked at after each row, not after a hundred.
+ROW_GROUPS = {"parquet.block.size": 8 << 20, "parquet.page.size.row.check.min": 1}
 #: Conversations that hold control strings inside texts are always among those formatted by the query.
 EXTRA_ID = -7
 EXTRA_TEXT = "\\### Assistant: </turn> ok"
@@ -102,7 +110,7 @@ def _chained(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             role, text = role or "", text or ""
             path.append(turn_key(path[-1] if path else b"", role, text))
             turns.append((role, text))
-            size += len(text)
+            size += len(role) + len(text) + KEY_BYTES
     if seen:
         held.append((open_id, b"".join(path), *zip(*turns)))
         yield handed()
@@ -158,7 +166,7 @@ class Pack:
         for role, text in zip(roles[shared:], texts[shared:]):
             self.turns.append((self.places[-1] if self.places else -1, role, text))
             self.places.append(len(self.turns) - 1)
-            self.chars += len(text)
+            self.chars += len(role) + len(text)
         self.path = path
         self.ends.append((conv_id, self.places[-1]))
 
@@ -210,7 +218,7 @@ def _packed(tokenizer_path: str, pack_chars: int, kind: pa.DataType):
                 conv_id, path, roles, texts = (batch.column(k)[at].as_py() for k in range(4))
                 keys = [path[k:k + KEY_BYTES] for k in range(0, len(path), KEY_BYTES)]
                 pack.add(conv_id, keys, roles, texts)
-                if pack.chars >= pack_chars:
+                if pack.chars >= pack_chars or len(pack.ends) >= PACK_CONVERSATIONS:
                     yield pa.RecordBatch.from_pylist([pack.row(model)], schema)
                     pack = Pack()
         if pack.ends:
@@ -226,7 +234,7 @@ def write(rows: DataFrame, path: str, tokenizer_path: str, pack_chars: int = PAC
     ranges of (digests, id): however many share their first turns, or all of them, they
     spread over as many tasks as the sizes ask for.  A tree is cut where a pack or a task's
     range ends, and the next pack starts with the turns it shares, so each pack
-    can be used and read alone.  Memory: one pack and one conversation.
+    can be used and read alone.  Memory: one pack and one conversation; in Spark's writer and reader one row group.
 
     Null text or role: empty; a null turn comes first; turns with equal numbers are all kept, by role and text;
     rows with a null id are one conversation.  Empty table: no packs.
@@ -236,7 +244,7 @@ def write(rows: DataFrame, path: str, tokenizer_path: str, pack_chars: int = PAC
     parts = max(1, held.rdd.getNumPartitions())
     held.repartitionByRange(parts, "path", "conv_id").sortWithinPartitions("path", "conv_id").mapInArrow(
         _packed(tokenizer_path, pack_chars, kind), PACK.format(kind=kind)
-    ).write.parquet(path)
+    ).write.options(**ROW_GROUPS).parquet(path)
 
 
 def _spans(turns: list[dict], place: int) -> list[tuple[int, int]]:
@@ -246,25 +254,29 @@ def _spans(turns: list[dict], place: int) -> list[tuple[int, int]]:
 
 
 def read_back(pack: dict, model) -> Iterator[tuple[object, str, str]]:
-    """``conv_id``, the formatted conversation, and the text under its loss mask, of each conversation of a pack."""
-    ids, positions, turns = pack["ids"], pack["position_ids"], pack["turns"]
+    """``conv_id``, the formatted conversation, and the text under its loss mask, of each conversation of a pack.
+
+    Equal conversations end at the same turn and are read once.
+    """
+    ids, positions, turns = np.asarray(pack["ids"]), np.asarray(pack["position_ids"]), pack["turns"]
     learned: dict[int, str] = {}
-    for end in pack["conversations"]:
-        own, seen = [], 0
-        for start, stop in _spans(turns, end["turn"]):
-            if positions[start:stop] != list(range(seen, seen + stop - start)):
-                raise ValueError("positions do not follow the conversation")
-            own += ids[start:stop]
-            seen += stop - start
-        place, parts = end["turn"], []
+    for place, ends in groupby(pack["conversations"], itemgetter("turn")):
+        spans = [slice(*span) for span in _spans(turns, place)]
+        own = np.concatenate([ids[span] for span in spans])
+        if not np.array_equal(np.concatenate([positions[span] for span in spans]), np.arange(len(own))):
+            raise ValueError("positions do not follow the conversation")
+        parts = []
         while place >= 0:
             loss = turns[place]["loss"]
             if loss:
                 if place not in learned:
-                    learned[place] = unescape(model.decode(ids[loss["start"]:loss["end"]], skip_special_tokens=False))
+                    loss_ids = ids[loss["start"]:loss["end"]].tolist()
+                    learned[place] = unescape(model.decode(loss_ids, skip_special_tokens=False))
                 parts.append(learned[place])
             place = turns[place]["parent"]
-        yield end["conv_id"], model.decode(own, skip_special_tokens=False), "".join(reversed(parts))
+        formatted, text = model.decode(own.tolist(), skip_special_tokens=False), "".join(reversed(parts))
+        for end in ends:
+            yield end["conv_id"], formatted, text
 
 
 def _digest(tokenizer_path: str):
@@ -276,15 +288,18 @@ def _digest(tokenizer_path: str):
         for batch in batches:
             kind = batch.schema.field("conversations").type.value_type.field("conv_id").type
             for at in range(batch.num_rows):
-                pack = {name: batch.column(name)[at].as_py() for name in batch.schema.names}
+                pack = {name: batch.column(name)[at].as_py() for name in ("turns", "conversations")}
+                pack |= {name: batch.column(name)[at].values.to_numpy() for name in ("ids", "position_ids")}
                 ids, rows = [], []
-                for conv_id, formatted, learned in read_back(pack, model):
+                for (formatted, learned), same in groupby(read_back(pack, model), itemgetter(1, 2)):
                     turns = parse(formatted)
-                    ids.append(conv_id)
-                    rows.append((
+                    row = (
                         len(turns), sha("".join(f"{role}\n{text}\n" for role, text in turns)),
                         len(learned), sha(learned), len(formatted),
-                    ))
+                    )
+                    for conv_id, _, _ in same:
+                        ids.append(conv_id)
+                        rows.append(row)
                 columns = list(zip(*rows))
                 yield pa.RecordBatch.from_arrays([
                     pa.array(ids, kind), pa.array(columns[0], pa.int64()), pa.array(columns[1], pa.string()),

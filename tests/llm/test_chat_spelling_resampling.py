@@ -8,6 +8,8 @@ import re
 import zlib
 from collections import Counter
 
+import pyarrow as pa
+import pyarrow.parquet as pq
 import pytest
 
 from rowloom.llm import chat_tree, queries, resampling, spelling_groups
@@ -235,6 +237,36 @@ def test_chats_empty(spark, tmp_path):
     assert chat_tree.digest(chat_tree.read(spark, f"{tmp_path}/none"), queries.tokenizer_path()).collect() == []
 
 
+def test_few_packs_a_row_group(spark, tmp_path, monkeypatch):
+    """A reader that takes a row group at once holds some packs, not all of a file."""
+    monkeypatch.setitem(chat_tree.ROW_GROUPS, "parquet.block.size", 1 << 17)
+    draw = random.Random(6)
+    rows = [(k, 0, "user", "".join(draw.choices("abcdefgh ,.", k=20_000)), None) for k in range(80)]
+    spark.conf.set("spark.sql.files.minPartitionNum", 1)
+    try:
+        chat_tree.write(spark.createDataFrame(rows, CHAT_ROWS), f"{tmp_path}/packs", queries.tokenizer_path(), 20_000)
+    finally:
+        spark.conf.unset("spark.sql.files.minPartitionNum")
+    files = [pq.ParquetFile(f).metadata for f in tmp_path.glob("packs/*.parquet")]
+    assert sum(m.num_rows for m in files) == 80 and max(m.num_rows for m in files) > 20
+    assert all(m.row_group(k).num_rows <= 20 for m in files for k in range(m.num_row_groups))
+    got = chat_tree.digest(chat_tree.read(spark, f"{tmp_path}/packs"), queries.tokenizer_path()).collect()
+    assert {tuple(r)[:5] for r in got} == brute_chats([r[:4] for r in rows]) and len(got) == 80
+
+
+def test_copies_and_empty_turns_are_handed_on():
+    """Conversations that add no characters end a pack, or a batch, by their number."""
+    n = chat_tree.PACK_CONVERSATIONS + 10
+    rows = pa.RecordBatch.from_pydict({"conv_id": pa.array(range(n)), "role": pa.nulls(n, pa.string()), "text": pa.nulls(n, pa.string())})
+    chained = list(chat_tree._chained(iter([rows])))
+    assert len(chained) > 1 and sum(b.num_rows for b in chained) == n
+    packs = list(chat_tree._packed(queries.tokenizer_path(), chat_tree.PACK_CHARS, None)(iter(chained)))
+    assert [len(p.column("conversations")[0]) for p in packs] == [chat_tree.PACK_CONVERSATIONS, 10]
+    read = [b for b in chat_tree._digest(queries.tokenizer_path())(iter(packs))]
+    assert [i for b in read for i in b.column("conv_id").to_pylist()] == list(range(n))
+    assert {tuple(c.to_pylist()[0] for c in b.columns[1:]) for b in read} == {tuple(c.to_pylist()[-1] for c in b.columns[1:]) for b in read}
+
+
 def test_escape():
     draw = random.Random(3)
     for _ in range(3000):
